@@ -33,7 +33,7 @@ def build_session(name: str = "tidemill", master: str | None = None, shuffle_par
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
-        b = b.master(master).config("spark.ui.enabled", "false")
+        b = b.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return b.getOrCreate()
@@ -85,3 +85,8 @@ def to_ntz(df: DataFrame) -> DataFrame:
         if f.dataType.typeName() == "timestamp":
             df = df.withColumn(f.name, F.col(f.name).cast("timestamp_ntz"))
     return df
+
+
+def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Mark a side for broadcast only after counting that it is small; else leave it to the shuffle join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
