@@ -47,3 +47,8 @@ def time_slot(ts: Column, seconds: int) -> Column:
 
 def micros(ts: Column) -> Column:
     return F.unix_micros(ts)
+
+
+def sum_of_squares_below(n: Column) -> Column:
+    """0^2 + 1^2 + ... + (n-1)^2 in closed form."""
+    return F.floor(n * (n - 1) * (2 * n - 1) / 6).cast("long")

@@ -106,3 +106,11 @@ def combined_similarity(a: Column, b: Column) -> Column:
     sound = F.when(sound_code(ca) == sound_code(cb), 1.0).otherwise(0.0)
     mixed = blend(jaccard(wa, wb), count_cosine(term_counts(wa), term_counts(wb)), edit_similarity(ca, cb), sound)
     return F.when((ca == "") | (cb == ""), F.lit(0.0)).otherwise(mixed)
+
+
+def match_fraction(a: Column, b: Column) -> Column:
+    """Share of positions where two arrays of the same length agree; other lengths give 0."""
+    hits = F.aggregate(
+        F.zip_with(a, b, lambda x, y: F.when(x.eqNullSafe(y), 1).otherwise(0)), F.lit(0), lambda s, x: s + x
+    )
+    return F.when((F.size(a) == F.size(b)) & (F.size(a) > 0), hits / F.size(a)).otherwise(F.lit(0.0))
