@@ -34,3 +34,10 @@ def retry_delay(policy: str, attempt: Column, base_ms: int, cap_ms: int, jitter:
         part = F.conv(F.substring(F.md5(F.concat_ws("/", seed, a)), 1, 8), 16, 10).cast("double") / float(1 << 32)
         delay = F.floor(delay * (1 + part * F.lit(jitter))).cast("long")
     return delay
+
+
+def group_by_size(df: DataFrame, ts: str, id_col: str, seconds: int = 5, most: int = 1000) -> DataFrame:
+    """Batches that end with their time slot or after a number of rows: slot, part (from 0)."""
+    slotted = df.withColumn("slot", F.floor(F.unix_timestamp(ts) / seconds))
+    ranked = rank_in_group(slotted, ["slot"], [ts, id_col], "__rank")
+    return ranked.withColumn("part", F.floor((F.col("__rank") - 1) / most)).drop("__rank")
