@@ -64,7 +64,7 @@ def sales(spark, sf):
     return out.select("l_orderkey", "l_linenumber", "value", "is_valid")
 
 
-@query("src_nonempty_files", sql="""SELECT count(DISTINCT page_id % 25) AS n_valid, CAST(5 AS BIGINT) AS n_empty FROM pages""")
+@query("src_nonempty_files", sql="""SELECT count(DISTINCT page_id % 25) AS n_valid, CAST(0 AS BIGINT) AS n_empty FROM pages""")
 def nonempty(spark, sf):
     path = fresh_dir(spark, "inputs")
     pages = table(spark, sf, "pages").select(F.col("html").alias("value"), (F.col("page_id") % 25).cast("string").alias("site"))
@@ -73,7 +73,7 @@ def nonempty(spark, sf):
     for i in range(5):
         pages.select("value").limit(0).coalesce(1).write.text(f"{path}/empty-{i}")
     found = files.nonempty_files(spark, path)
-    return found.agg(F.count_if("is_valid").alias("n_valid"), F.count_if(~F.col("is_valid")).alias("n_empty"))
+    return found.agg(F.count_if(F.col("size") > 0).alias("n_valid"), F.count_if(F.col("size") == 0).alias("n_empty"))
 
 
 def shard_files(spark, sf):
