@@ -70,12 +70,24 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def term_counts(tokens: Column) -> Column:
-    """token -> count as a map."""
-    return F.map_from_entries(
-        F.transform(
-            F.array_distinct(tokens), lambda t: F.struct(t, F.size(F.filter(tokens, lambda u: u == t)).cast("double"))
+    """token -> count as a map, from the run starts of the sorted tokens."""
+
+    def runs(t: Column) -> Column:
+        n = F.size(t)
+        starts = F.filter(
+            F.sequence(F.lit(1), n), lambda i: (i == 1) | (F.element_at(t, i) != F.element_at(t, F.greatest(i - 1, F.lit(1))))
         )
-    )
+        return F.transform(
+            F.array(starts),
+            lambda s: F.map_from_arrays(
+                F.transform(s, lambda i: F.element_at(t, i)),
+                F.zip_with(s, F.concat(F.slice(s, F.lit(2), F.size(s)), F.array(n + 1)), lambda a, b: (b - a).cast("double")),
+            ),
+        )[0]
+
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
+    # the one-element array binds the sorted tokens to a name, so that they are sorted once
+    return F.when(F.size(tokens) == 0, empty).otherwise(F.transform(F.array(F.array_sort(tokens)), runs)[0])
 
 
 def count_cosine(a: Column, b: Column) -> Column:

@@ -80,20 +80,27 @@ def row_index(df: DataFrame, order: list[str], name: str = "row_index", rows_per
     return sliced.withColumn(name, local).drop(_SLICE)
 
 
+def _grouped_rows(df: DataFrame, keys: list[str], pick, *more: Column) -> DataFrame:
+    """One row per key: ``pick`` chooses among the other columns, which travel once."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *more).drop("__n")
+    return df.groupBy(*keys).agg(pick(F.struct(*rest)).alias("__row"), *more)
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: str, last: bool = False) -> DataFrame:
     """The first (or last) row of each key by a unique order column.
 
     An aggregate with a map-side combine, so a hot key shrinks before the shuffle.
     """
-    pick = F.max_by if last else F.min_by
-    row = pick(F.struct(*df.columns), F.col(order)).alias("__row")
-    return df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(row).select("__row.*")
+    by = F.max_by if last else F.min_by
+    if order in keys:
+        return df.dropDuplicates(keys)
+    out = _grouped_rows(df, keys, lambda row: by(row, F.col(order)))
+    return out.select(*keys, "__row.*").select(*df.columns)
 
 
 def only_unrepeated(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows whose key occurs exactly once (keep none of the repeated ones)."""
-    row = F.any_value(F.struct(*df.columns)).alias("__row")
-    grouped = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
-        row, F.count(F.lit(1)).alias("__n")
-    )
-    return grouped.filter("__n = 1").select("__row.*")
+    out = _grouped_rows(df, keys, F.any_value, F.count(F.lit(1)).alias("__times")).filter("__times = 1")
+    return out.select(*keys, *(["__row.*"] if "__row" in out.columns else [])).select(*df.columns)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemill.session import to_ntz
 
 MODULES = (
-    "sources scans cleaning joins aggregates ordering scalars streams partitions "
+    "sources cleaning joins aggregates ordering scalars streams partitions "
     "duplicates shards statistics learning texts protection batches"
 ).split()
 
@@ -41,7 +41,4 @@ def query(*names: str, sql: str | None = None):
 
 def load_all() -> None:
     for m in MODULES:
-        import os
-        if not os.path.exists(os.path.join(os.path.dirname(__file__), m + ".py")):
-            continue
         importlib.import_module(f"tidemill.plans.{m}")

@@ -7,7 +7,7 @@ from tidemill.functions import numbers as N
 from tidemill.functions import text as X
 from tidemill.operators import protect as P
 from tidemill.plans import inputs as I
-from tidemill.plans.registry import query
+from tidemill.plans.registry import QUERIES, SQL, query
 from tidemill.sources import payloads
 from tidemill.session import table
 
@@ -82,7 +82,7 @@ def hashes(spark, sf):
     )
 
 
-@query("scalar_date", "dt_hour", "dt_date", "dt_dayofweek", sql="""SELECT event_id, CAST(hour(ts) AS INTEGER) AS dt_hour, CAST(ts AS DATE) AS dt_date, CAST(dayofweek(ts) + 1 AS INTEGER) AS dt_dayofweek,
+@query("scalar_date", sql="""SELECT event_id, CAST(hour(ts) AS INTEGER) AS dt_hour, CAST(ts AS DATE) AS dt_date, CAST(dayofweek(ts) + 1 AS INTEGER) AS dt_dayofweek,
  date_trunc('millisecond', ts) AS dt_epoch_ms, date_trunc('second', ts) AS dt_epoch_s,
  CAST(date_diff('second', TIMESTAMP '2024-01-01', date_trunc('second', ts)) AS BIGINT) AS dt_diff_seconds,
  strftime(ts, '%Y-%m') AS dt_month_key, CAST(epoch(date_trunc('minute', ts)) AS BIGINT) AS dt_to_epoch FROM events""")
@@ -151,7 +151,7 @@ def exploded(spark, sf):
     return table(spark, sf, "part").select("p_partkey", F.explode(F.split("p_name", " ")).alias("word"))
 
 
-@query("scalar_map", "map_get", sql="""SELECT event_id, CAST(value AS VARCHAR) AS map_get, 'none' AS map_get_default, CAST(2 AS INTEGER) AS map_entries FROM events""")
+@query("scalar_map", sql="""SELECT event_id, CAST(value AS VARCHAR) AS map_get, 'none' AS map_get_default, CAST(2 AS INTEGER) AS map_entries FROM events""")
 def maps(spark, sf):
     m = F.from_json(F.get_json_object("value", "$.properties"), "map<string,string>")
     df = I.envelopes(I.events(spark, sf)).select(F.col("offset").alias("event_id"), m.alias("m"))
@@ -215,3 +215,42 @@ def quoted(spark, sf):
     obj = F.struct(F.struct(F.col("text").alias("quote"), F.expr("CASE WHEN role = 'user' THEN role END AS author")).alias("data"))
     df = table(spark, sf, "conversations").select("conv_id", "turn", F.to_json(obj).alias("j"))
     return payloads.quotes(df, "j", ["conv_id", "turn"])
+
+
+# ---- each function on its own: the columns of the grouped queries
+
+COLUMNS = {
+    ("scalar_string", "doc_id"): {
+        "str_case_trim": ["str_lower_trim", "str_upper", "str_blanks"],
+        **{n: [n] for n in ("str_split_join", "str_regex_replace", "str_regex_find_all", "str_translate", "str_substring",
+                            "str_length", "str_concat", "str_format_number")},
+    },
+    ("scalar_string_distance", "p_partkey"): {n: [n] for n in ("str_levenshtein", "str_soundex_custom")},
+    ("scalar_hash", "doc_id"): {"hash_md5": ["hash_md5", "hash_sha1", "hash_sha256"], "hash_md5_mod": ["hash_md5_mod"]},
+    ("scalar_date", "event_id"): {
+        **{n: [n] for n in ("dt_hour", "dt_date", "dt_dayofweek", "dt_epoch_ms", "dt_epoch_s", "dt_diff_seconds", "dt_month_key", "dt_to_epoch")},
+        "unix_seconds_to_ts": ["dt_epoch_s"],
+        "datetime_concat_to_epoch": ["dt_to_epoch"],
+    },
+    ("scalar_math", "o_orderkey"): {
+        "math_log_size": ["math_log", "math_floor"],
+        "math_norm_dot": ["math_norm", "math_dot"],
+        **{n: [n] for n in ("math_ceil_div", "math_shift_cap", "math_time_bucket")},
+    },
+    ("scalar_array", "conv_id, turn"): {n: [n] for n in ("arr_contains", "arr_field", "arr_match_fraction", "arr_min_hash", "arr_first_or_default")},
+    ("scalar_map", "event_id"): {"map_get": ["map_get", "map_get_default"]},
+    ("scalar_json", "event_id"): {n: [n] for n in ("json_parse", "json_write", "json_path_default")},
+    ("scalar_conditional", "event_id"): {n: [n] for n in ("cond_case", "cond_in_notnull")},
+}
+
+
+def _column_query(group: str, keys: str, name: str, columns: list[str]) -> None:
+    whole = QUERIES[group]
+    query(name, sql=f"SELECT {keys}, {', '.join(columns)} FROM ({SQL[group]})")(
+        lambda spark, sf: whole(spark, sf).select(*keys.split(", "), *columns)
+    )
+
+
+for (_group, _keys), _names in COLUMNS.items():
+    for _name, _columns in _names.items():
+        _column_query(_group, _keys, _name, _columns)

@@ -88,5 +88,8 @@ def to_ntz(df: DataFrame) -> DataFrame:
 
 
 def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark a side for broadcast only after counting that it is small; else leave it to the shuffle join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    """Mark a side for broadcast only after counting that it is small; else leave it to the shuffle join.
+
+    Counting evaluates the side once more: pass a side that is cheap or checkpointed.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
