@@ -93,11 +93,12 @@ def dedup_fuzzy_column(df: DataFrame, id_col: str, column: str, threshold: float
     kept = P.first_survivors(values, near.filter(F.col("similarity") >= survivors)).filter("vid = leader").select("vid")
     both = near.filter(F.col("similarity") >= threshold).select("a", "b")
     links = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    own = values.join(kept, "vid").select(F.col("vid").alias("a"), F.col("vid").alias("b"))
-    target = links.join(kept, links.b == kept.vid, "left_semi").unionByName(own).groupBy("a").agg(F.min("b").alias("to"))
-    text = values.select(F.col("vid").alias("to"), F.col(column).alias("__new"))
+    own = kept.select(F.col("vid").alias("a"), F.col("vid").alias("b"))
+    target = links.join(kept, links.b == kept.vid, "left_semi").unionByName(own).groupBy("a").agg(F.min("b").alias("b"))
+    target = target.select(F.col("a").alias("vid"), F.col("b").alias("__to"))
+    text = values.select(F.col("vid").alias("__to"), F.col(column).alias("__new"))
     # rows without a word keep their text
-    mapping = values.filter("apart IS NULL").join(target, values.vid == target.a).join(text, "to").select(column, "__new")
+    mapping = values.filter("apart IS NULL").join(target, "vid").join(text, "__to").select(column, "__new")
     rest = [c for c in df.columns if c not in (id_col, column)]
     out = df.join(mapping, column, "left").select(*rest, F.coalesce("__new", column).alias(column))
     return out.distinct()
