@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.numbers import month_key
-from tidemill.operators.quantiles import exact_quantiles, quantile_name
+from tidemill.operators.quantiles import exact_quantiles, quantile_name, quantile_values
 
 QUARTILES = [0.25, 0.5, 0.75]
 
@@ -84,10 +84,11 @@ def describe(df: DataFrame, columns: list[str], by: list[str] | None = None) ->
     for c in columns:
         aggs += [F.count(c).alias(f"{c}_count"), F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std")]
         aggs += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
-    basic = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-    quart = exact_quantiles(df, columns, QUARTILES, by=by)
-    # both sides have one row per group
-    both = basic.join(quart, by) if by else basic.withColumn("__one", F.lit(1)).join(quart.withColumn("__one", F.lit(1)), "__one")
+    if by:
+        both = df.groupBy(*by).agg(*aggs).join(exact_quantiles(df, columns, QUARTILES, by=by), by)  # one row per group each
+    else:
+        mid = quantile_values(df, columns, QUARTILES)
+        both = df.agg(*aggs).select("*", *[F.lit(v).cast("double").alias(n) for n, v in mid.items()])
     stat = lambda c: F.struct(
         F.lit(c).alias("column_name"),
         F.col(f"{c}_count").alias("count"),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
@@ -17,6 +16,11 @@ from tidemill.operators import pairs as P
 from tidemill.operators.rank import first_per_key, only_unrepeated, row_index
 from tidemill.session import cut
 
+try:  # the plain C form starts faster than the OpenSSL one, which counts for short tokens
+    from _md5 import md5
+except ImportError:
+    from hashlib import md5
+
 
 # ---- exact
 
@@ -190,7 +194,9 @@ def dedup_probabilistic(df: DataFrame, text: str, order: str, seen: DataFrame, e
 
 # ---- MinHash
 
-_CACHE = 40_000
+_CACHE = 40_000  # tokens a worker remembers
+_CHUNK = 2_048  # tokens of one text compared at once
+_TOP = np.iinfo("u8").max
 
 
 def minhash_signature(df: DataFrame, text: str, name: str = "signature", hashes: int = 100) -> DataFrame:
@@ -199,28 +205,28 @@ def minhash_signature(df: DataFrame, text: str, name: str = "signature", hashes:
     @F.pandas_udf("array<string>")
     def sign(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table: dict[str, np.ndarray] = {}
+        numbers = [str(i).encode() for i in range(hashes)]
 
         def digests(token: str) -> np.ndarray:
             row = table.get(token)
             if row is None:
                 if len(table) >= _CACHE:
                     table.clear()
-                raw = b"".join(hashlib.md5(f"{token}{i}".encode()).digest() for i in range(hashes))
+                t = token.encode()
+                raw = b"".join([md5(t + n).digest() for n in numbers])
                 row = table[token] = np.frombuffer(raw, dtype=">u8").reshape(hashes, 2).astype("u8")
             return row
 
         def one(s):
-            tokens = set(s.lower().split()) if s else ()
+            tokens = list(set(s.lower().split())) if s else []
             if not tokens:
                 return None
             best = None
-            for t in tokens:
-                row = digests(t)
-                if best is None:
-                    best = row.copy()
-                    continue
-                less = (row[:, 0] < best[:, 0]) | ((row[:, 0] == best[:, 0]) & (row[:, 1] < best[:, 1]))
-                best[less] = row[less]
+            for start in range(0, len(tokens), _CHUNK):
+                rows = [digests(t) for t in tokens[start : start + _CHUNK]]
+                m = np.stack(rows if best is None else [*rows, best])
+                high = m[:, :, 0].min(0)
+                best = np.stack([high, np.where(m[:, :, 0] == high, m[:, :, 1], _TOP).min(0)], axis=1)
             return [f"{a:016x}{b:016x}" for a, b in best.tolist()]
 
         for s in batches:
@@ -254,11 +260,8 @@ def dedup_auto(df: DataFrame, id_col: str, text: str, method: str = "auto", thre
 
 def dedup_report(df: DataFrame, kept: DataFrame, method: str) -> DataFrame:
     """One row: rows before, kept, removed and the removed share."""
-    before = df.agg(F.count(F.lit(1)).alias("original"))
-    after = kept.agg(F.count(F.lit(1)).alias("kept"))
-    # two one-row counts, joined on a constant key
-    both = before.withColumn("k", F.lit(1)).join(after.withColumn("k", F.lit(1)), "k")
-    return both.select(
-        "original", "kept", (F.col("original") - F.col("kept")).alias("removed"),
-        F.try_divide(F.col("original") - F.col("kept"), F.col("original")).alias("rate"), F.lit(method).alias("method"),
+    after = kept.count()
+    return df.agg(F.count(F.lit(1)).alias("original")).select(
+        "original", F.lit(after).cast("long").alias("kept"), (F.col("original") - after).alias("removed"),
+        F.try_divide(F.col("original") - after, F.col("original")).alias("rate"), F.lit(method).alias("method"),
     )

@@ -90,8 +90,11 @@ def exact_quantiles(
     """One row (per group) with a column ``<name>_p<percent>`` per column and share."""
     by = by or []
     if df.count() <= small_rows:
-        aggs = [F.percentile(c, p).alias(quantile_name(c, p)) for c in columns for p in probs]
-        return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+        # all shares of a column from one table of its values
+        aggs = [F.percentile(c, list(probs)).alias(f"__{i}") for i, c in enumerate(columns)]
+        out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+        picked = [F.col(f"__{i}")[j].alias(quantile_name(c, p)) for i, c in enumerate(columns) for j, p in enumerate(probs)]
+        return out.select(*by, *picked)
     spark = df.sparkSession
     values = _ranks(df, columns, probs, by, bins)
     names = [quantile_name(c, p) for c in columns for p in probs]

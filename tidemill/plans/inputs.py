@@ -102,7 +102,7 @@ CHURN = """churn AS (
          CASE WHEN c_nationkey % 3 = 0 THEN 'Month-to-month' WHEN c_nationkey % 3 = 1 THEN 'One year' ELSE 'Two year' END AS contract,
          CAST(count(*) AS BIGINT) AS n_orders,
          CAST(date_diff('day', min(o_orderdate), TIMESTAMP '2002-01-01') AS BIGINT) AS tenure,
-         round(avg(o_totalprice), 6) AS monthly, round(sum(o_totalprice), 2) AS total,
+         round(round(sum(o_totalprice), 2) / count(*), 6) AS monthly, round(sum(o_totalprice), 2) AS total,
          CASE WHEN max(o_orderdate) < TIMESTAMP '2001-06-01' THEN 'Yes' ELSE 'No' END AS churn
   FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY 1, 2, 3)"""
 
@@ -113,7 +113,7 @@ def churn(spark: SparkSession, sf: str) -> DataFrame:
     per = od.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"),
         F.datediff(F.lit("2002-01-01").cast("date"), F.min("o_orderdate")).cast("long").alias("tenure"),
-        F.round(F.avg("o_totalprice"), 6).alias("monthly"),
+        F.round(F.round(F.sum("o_totalprice"), 2) / F.count(F.lit(1)), 6).alias("monthly"),
         F.round(F.sum("o_totalprice"), 2).alias("total"),
         F.when(F.max("o_orderdate") < F.lit("2001-06-01").cast("timestamp"), "Yes").otherwise("No").alias("churn"),
     )

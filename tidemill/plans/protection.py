@@ -147,7 +147,7 @@ def health(spark, sf):
 CUTOFF = datetime(2024, 1, 20, 12)
 KEYS = ["event_type"]
 VIEW = "SELECT event_type, count(*) AS n, round(sum(value), 2) AS total, min(value) AS least, max(value) AS most FROM events WHERE {c} GROUP BY 1"
-LIVE = f"SELECT event_type, count(*) AS n, round(sum(value), 2) AS total, min(value) AS least, max(value) AS most, round(avg(value), 6) AS average FROM events GROUP BY 1"
+LIVE = f"SELECT event_type, count(*) AS n, round(sum(value), 2) AS total, min(value) AS least, max(value) AS most, round(round(sum(value), 2) / count(*), 6) AS average FROM events GROUP BY 1"
 
 
 def two(df):
@@ -178,7 +178,7 @@ def speed_view(spark, sf):
 @query("lambda_serving", "union_views", sql=LIVE)
 def serving(spark, sf):
     out = two(V.serving_view(history(spark, sf), recent(spark, sf), KEYS))
-    return out.withColumn("average", F.round("average", 6))
+    return out.withColumn("average", F.round(F.col("total") / F.col("n"), 6))
 
 
 @query("kappa_stream", sql=VIEW.format(c="true"))

@@ -16,6 +16,9 @@ TABLES = (
     "documents embeddings pages benchmark labels conversations"
 ).split()
 
+# tables whose rows are long texts or very many
+COSTLY = {"documents", "lineitem", "conversations", "pages"}
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -69,10 +72,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few, unsplittable files enough partitions for the costly work behind it.
+
+    A table of many files has more partitions than there are cores and is left alone,
+    so nothing is shuffled there.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one input table; zone-less timestamps become UTC timestamps."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if name in COSTLY:
+        df = spread(df)
     for f in df.schema.fields:
         if f.dataType.typeName() == "timestamp_ntz":
             df = df.withColumn(f.name, F.col(f.name).cast("timestamp"))
