@@ -79,7 +79,7 @@ def sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame) -> Data
 # ---- topics
 
 
-def vectorize(df: DataFrame, tokens: str, size: int = 1 << 16) -> tuple[DataFrame, CountVectorizerModel]:
+def vectorize(df: DataFrame, tokens: str, size: int = 1 << 18) -> tuple[DataFrame, CountVectorizerModel]:
     model = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=size).fit(df)
     return model.transform(df), model
 
