@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import packing, token_counts
+from tidemill.llm import decontaminate, packing, token_counts
 from tidemill.session import fresh_dir, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -39,3 +39,29 @@ def best_fit_packing(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
 def token_count_cache(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return token_counts.token_counts(docs, tokenizer or public_tokenizers.path(WORD_BPE), fresh_dir(spark, "token-cache"), SEQUENCE)
+
+
+DECONTAMINATION_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+items AS (SELECT item_id, w, least(len(w), 10) AS k FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS win
+            FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM items)),
+sizes AS (SELECT DISTINCT k FROM windows),
+spots AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS win
+          FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, sizes WHERE len(w) >= k)),
+found AS (SELECT doc_id, spots.k, i, item_id FROM spots JOIN windows USING (k, win)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM found) GROUP BY doc_id),
+which AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN which USING (doc_id)
+"""
+
+
+@query("op3_decontamination", DECONTAMINATION_SQL)
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
