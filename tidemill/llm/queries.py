@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, packing, token_counts
+from tidemill.llm import decontaminate, minhash, packing, token_counts
 from tidemill.session import fresh_dir, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -65,3 +65,23 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN which USING (doc_id)
 @query("op3_decontamination", DECONTAMINATION_SQL)
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, sh FROM (
+       SELECT doc_id, array_to_string(w[i:i + 2], ' ') AS sh FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)
+       UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM d WHERE len(w) IN (1, 2))),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS MATERIALIZED (SELECT a, b FROM (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS common FROM s p JOIN s q USING (sh) WHERE p.doc_id <> q.doc_id GROUP BY ALL)
+           JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 85 * (na.n + nb.n - common)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.b) AS component_id, d.doc_id = min(reach.b) AS kept
+FROM d JOIN reach ON reach.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@query("op10_minhash_near_dedup", NEAR_DUPLICATES_SQL)
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
