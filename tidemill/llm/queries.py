@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import decontaminate, langid, minhash, packing, token_counts
+from tidemill.llm import decontaminate, langid, minhash, packing, token_counts, toxicity
 from tidemill.session import fresh_dir, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -90,3 +90,8 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_language_id")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op8_toxicity")
+def toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
