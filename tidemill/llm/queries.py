@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import cotrain, decontaminate, langid, minhash, packing, token_counts, toxicity
+from tidemill.llm import cotrain, decontaminate, html_text, langid, minhash, packing, token_counts, toxicity
 from tidemill.session import fresh_dir, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -100,3 +100,8 @@ def toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_quality_cotraining")
 def quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op2_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
