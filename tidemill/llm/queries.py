@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import cotrain, decontaminate, html_text, langid, minhash, packing, token_counts, toxicity
+from tidemill.llm import ann, cotrain, decontaminate, html_text, langid, minhash, packing, token_counts, toxicity
 from tidemill.session import fresh_dir, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -105,3 +105,8 @@ def quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_html_extraction")
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op7_permutation_index")
+def permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
