@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import ann, cotrain, decontaminate, html_text, langid, minhash, packing, token_counts, toxicity
+from tidemill.llm import ann, cotrain, decontaminate, html_text, langid, minhash, packing, quotes, token_counts, toxicity
 from tidemill.session import fresh_dir, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -110,3 +110,8 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_permutation_index")
 def permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_quotation_linking")
+def quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
