@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from tidemill.session import fresh_dir
 
@@ -42,6 +42,20 @@ def by_batch(columns: dict[str, pa.DataType], rows: Callable[[pa.RecordBatch], d
     return run
 
 
+def more_columns(df: DataFrame, **types: DataType) -> StructType:
+    """The schema of a table with columns added."""
+    return StructType([*df.schema.fields, *(StructField(n, t) for n, t in types.items())])
+
+
+def arrow_columns(schema: StructType) -> dict[str, pa.DataType]:
+    return {f.name: arrow_type(f.dataType) for f in schema.fields}
+
+
+def with_row(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, and the whole row as ``row``, for operators that give rows back as they came."""
+    return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+
+
 def two(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the id and the text, under names of their own, so that no other column of the caller can clash."""
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))

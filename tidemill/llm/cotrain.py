@@ -9,8 +9,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType
 
-from tidemill.llm.base import arrow_type, by_batch, kind, stored
+from tidemill.llm.base import arrow_columns, by_batch, more_columns, with_row
 
 #: labelled and unlabelled rows that the views are fitted on, in the mean over draws
 FIT_LABELLED, FIT_UNLABELLED = 12_000, 12_000
@@ -169,70 +170,89 @@ def cotrain(text: np.ndarray, meta: np.ndarray, y: np.ndarray, pool_text: np.nda
     return Model(models[0], models[1], calibration, Logistic.fit(pair, y[aside], ridge=1.0), log)
 
 
-def features(docs: DataFrame, id_col: str, text_col: str, meta: list[str], size_col: str) -> DataFrame:
-    """doc_id, content (an array of numbers), meta (hashes of the fields and the size), empty: whether there is no text.
-
-    Fields that the table lacks count as null.
-    """
+def prepared(docs: DataFrame, id_col: str, text_col: str, meta: tuple[str, ...], size_col: str) -> DataFrame:
+    """doc_id, text, row, and meta: hashes of the metadata fields and the size.  Fields that the table lacks count as null."""
     have = set(docs.columns)
 
     def field(c: str) -> Column:
-        return F.col(c).cast("string") if c in have else F.lit(None).cast("string")
+        return F.col(f"row.`{c}`").cast("string") if c in have else F.lit(None).cast("string")
 
     hashes = [F.coalesce(F.pmod(F.xxhash64(field(c)), F.lit(1 << 20)), F.lit(0)).cast("double") for c in meta]
-    number = F.col(size_col).cast("double") if size_col in have else F.lit(None).cast("double")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.array(*hashes, number).alias("meta"))
-    columns = {"doc_id": arrow_type(rows.schema["doc_id"].dataType), "content": pa.list_(pa.float64()), "meta": pa.list_(pa.float64()), "empty": pa.bool_()}
+    return with_row(docs, id_col, text_col).withColumn("meta", F.array(*hashes, field(size_col).cast("double")))
+
+
+def _read(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    texts = batch.column("text").cast(pa.binary()).to_pylist()
+    n = len(texts)
+    content = np.array([text_features(t) for t in texts], dtype=float).reshape(n, TEXT_FEATURES)
+    meta = np.array(batch.column("meta").to_pylist(), dtype=float).reshape(n, -1)
+    return content, meta, np.array([not (t and t.strip()) for t in texts], dtype=bool)
+
+
+def _sample(rows: DataFrame, *names: str) -> list:
+    """The features of these few rows, in an order that doesn't depend on how they are laid out."""
+    schema = more_columns(rows.select("doc_id", *names), content=ArrayType(DoubleType()), meta=ArrayType(DoubleType()), empty=BooleanType())
 
     def read(batch: pa.RecordBatch) -> dict:
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        return {"doc_id": batch.column("doc_id"), "meta": batch.column("meta"), "content": [text_features(t) for t in texts], "empty": [not (t and t.strip()) for t in texts]}
+        content, meta, empty = _read(batch)
+        return {c: batch.column(c) for c in ("doc_id", *names)} | {"content": list(content), "meta": list(meta), "empty": empty}
 
-    return rows.mapInArrow(by_batch(columns, read), f"doc_id {kind(docs, id_col)}, content array<double>, meta array<double>, empty boolean")
+    found = rows.select("doc_id", *names, "text", "meta").mapInArrow(by_batch(arrow_columns(schema), read), schema).where("NOT empty").collect()
+    return sorted(found, key=lambda r: (str(r["doc_id"]), *(r[c] for c in names), r["content"]))
 
 
 def _matrix(rows: list, name: str, width: int) -> np.ndarray:
     return np.array([r[name] for r in rows], dtype=float).reshape(len(rows), width)
 
 
-def learn(feats: DataFrame, labels: DataFrame, labelled: int = FIT_LABELLED, unlabelled: int = FIT_UNLABELLED) -> Model | None:
-    """A model from the features and (doc_id, quality).  At most about ``labelled`` and ``unlabelled`` rows, chosen by
-    a hash of the id, reach the driver; texts don't."""
+def learn(rows: DataFrame, labels: DataFrame, labelled: int = FIT_LABELLED, unlabelled: int = FIT_UNLABELLED) -> Model | None:
+    """A model from ``prepared`` rows and (doc_id, quality).  At most about ``labelled`` and ``unlabelled`` rows are chosen by a
+    hash of the id; the labelled ones, which have that bound, are broadcast, and only features reach the driver."""
     draw = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 30)) / float(1 << 30)
     marked = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("quality IN (0, 1) AND doc_id IS NOT NULL").distinct()
-    n_marked, n_all = max(1, marked.count()), max(1, feats.count())
-    rows = feats.where(~F.col("empty")).select("doc_id", "content", "meta")
-    sample = rows.join(marked.where(draw * n_marked < labelled), "doc_id").collect()
-    pool = rows.where(draw * n_all < unlabelled).join(marked.select("doc_id").distinct(), "doc_id", "left_anti").collect()
-    sample.sort(key=lambda r: (str(r["doc_id"]), r["quality"], r["content"]))
-    pool.sort(key=lambda r: (str(r["doc_id"]), r["content"]))
-    width = len(sample[0]["meta"]) if sample else 1
+    n_marked, n_all = max(1, marked.count()), max(1, rows.count())
+    sample = _sample(rows.join(F.broadcast(marked.where(draw * n_marked < labelled)), "doc_id"), "quality")
+    pool = _sample(rows.select("doc_id", "text", "meta").where(draw * n_all < unlabelled).join(marked.select("doc_id").distinct(), "doc_id", "left_anti"))
+    width = len((sample or pool or [{"meta": [0.0]}])[0]["meta"])
     y = np.array([r["quality"] for r in sample], dtype=float)
     return cotrain(_matrix(sample, "content", TEXT_FEATURES), _matrix(sample, "meta", width), y, _matrix(pool, "content", TEXT_FEATURES), _matrix(pool, "meta", width))
 
 
+def judged(rows: DataFrame, model: Model | None) -> DataFrame:
+    """``prepared`` rows, less text and meta, with p_text, p_meta and score."""
+    out = rows.drop("text", "meta")
+    names = out.columns
+    schema = more_columns(out, p_text=DoubleType(), p_meta=DoubleType(), score=DoubleType())
+
+    def judge(batch: pa.RecordBatch) -> dict:
+        text, fields, empty = _read(batch)
+        found = model.probabilities(text, fields) if model else [np.ones(len(empty))] * 3
+        return {c: batch.column(c) for c in names} | {c: np.where(empty, 0.0, p) for c, p in zip(("p_text", "p_meta", "score"), found)}
+
+    return rows.mapInArrow(by_batch(arrow_columns(schema), judge), schema)
+
+
 def score(
     docs: DataFrame, labels: DataFrame, cutoff: float = 0.5, id_col: str = "doc_id", text_col: str = "text", meta: tuple[str, ...] = ("source", "lang"), size_col: str = "n_chars"
 ) -> DataFrame:
     """doc_id, p_text, p_meta, score, kept of every row: the calibrated chance of good quality by each view and by
     both, and whether ``score`` reaches ``cutoff``.
 
-    Texts are read once, whole; models are fitted and applied on their features, which are written down.  A null
+    The views are fitted on bounded samples; then texts are read once, whole, and nothing is shuffled.  A null
     or blank text has score 0 by all.  Without labels of both kinds every other row has score 1.  Repeated rows each
     give their row; null metadata is a value of its own; labels that are null, of other values or without a
-    document are passed over; other columns are not read.
+    document are passed over; other columns are not used.
     """
-    feats = stored(features(docs, id_col, text_col, list(meta), size_col), "quality-features")
-    model = learn(feats, labels.select(F.col(id_col).alias("doc_id"), "quality"))
-    columns = {"doc_id": arrow_type(feats.schema["doc_id"].dataType), "p_text": pa.float64(), "p_meta": pa.float64(), "score": pa.float64()}
-
-    def judge(batch: pa.RecordBatch) -> dict:
-        n = batch.num_rows
-        text = np.array(batch.column("content").to_pylist(), dtype=float).reshape(n, TEXT_FEATURES)
-        fields = np.array(batch.column("meta").to_pylist(), dtype=float).reshape(n, len(meta) + 1)
-        found = model.probabilities(text, fields) if model else [np.ones(n)] * 3
-        empty = np.array(batch.column("empty").to_pylist(), dtype=bool)
-        return {"doc_id": batch.column("doc_id")} | {c: np.where(empty, 0.0, p) for c, p in zip(("p_text", "p_meta", "score"), found)}
-
-    found = feats.mapInArrow(by_batch(columns, judge), f"doc_id {kind(feats, 'doc_id')}, p_text double, p_meta double, score double")
+    rows = prepared(docs, id_col, text_col, meta, size_col)
+    model = learn(rows, labels.select(F.col(id_col).alias("doc_id"), "quality"))
+    found = judged(rows.drop("row"), model)
     return found.withColumn("kept", F.col("score") >= cutoff).withColumnRenamed("doc_id", id_col)
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, cutoff: float = 0.5, id_col: str = "doc_id", text_col: str = "text", meta: tuple[str, ...] = ("source", "lang"), size_col: str = "n_chars"
+) -> DataFrame:
+    """The rows of ``docs`` that ``score`` keeps, as they came."""
+    rows = prepared(docs, id_col, text_col, meta, size_col)
+    model = learn(rows, labels.select(F.col(id_col).alias("doc_id"), "quality"))
+    return judged(rows, model).where(F.col("score") >= cutoff).select("row.*")

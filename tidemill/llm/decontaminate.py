@@ -12,8 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType
 
-from tidemill.llm.base import arrow_type, by_batch, kind, stored, text_digest, two
+from tidemill.llm.base import arrow_columns, by_batch, more_columns, stored, text_digest, two, with_row
 
 #: words are runs of ASCII letters and digits and of everything beyond ASCII; A-Z count as a-z
 _SPACE = {c: 32 for c in range(128) if not (chr(c).isdigit() or chr(c).isalpha())}
@@ -22,7 +23,6 @@ WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 #: the most words of benchmark items that one automaton, which every task holds, may take
 BLOCK_WORDS = 200_000
 PAIR_A, PAIR_B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
-SPANS = pa.list_(pa.list_(pa.int64()))
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -200,7 +200,8 @@ def _automaton(key: str) -> list[SuffixAutomaton]:
 
 def _scanned(rows: DataFrame, ids: list[str], items: list[list[bytes]], window: int) -> DataFrame:
     key = uuid.uuid4().hex
-    columns = {"doc_id": arrow_type(rows.schema["doc_id"].dataType), "text": pa.string(), "n_words": pa.int64(), "spans": SPANS, "items": pa.list_(pa.string())}
+    spans_type, items_type = ArrayType(ArrayType(LongType())), ArrayType(StringType())
+    schema = more_columns(rows, n_words=LongType(), spans=spans_type, items=items_type)
 
     def scan(batch: pa.RecordBatch) -> dict:
         held = _automaton(key)
@@ -213,17 +214,16 @@ def _scanned(rows: DataFrame, ids: list[str], items: list[list[bytes]], window:
             out["n_words"].append(len(words))
             out["spans"].append([list(x) for x in spans])
             out["items"].append(sorted({ids[i] for i in which}))
-        return out | {"doc_id": batch.column("doc_id"), "text": batch.column("text")}
+        return out | {c: batch.column(c) for c in batch.schema.names}
 
-    schema = f"doc_id {kind(rows, 'doc_id')}, text string, n_words bigint, spans array<array<bigint>>, items array<string>"
-    return rows.mapInArrow(by_batch(columns, scan), schema)
+    return rows.mapInArrow(by_batch(arrow_columns(schema), scan), schema)
 
 
 def scan_documents(
     docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text: str = "text", block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """doc_id, text, n_words, spans, items of every document.
+    """doc_id, text, row (the document as it came), n_words, spans, items of every document.
 
     Words of test items go into a generalised suffix automaton; a document's words are run through it once, which
     gives the longest factor of any item that ends at each word.  Where that is ``window`` words or more, or a whole
@@ -237,22 +237,22 @@ def scan_documents(
     Null and empty texts have no words and items without words have no windows; repeated rows each give their row;
     null ids stay; items that share an id count as one.  Other columns of either table are not read.
     """
-    rows = two(docs, id_col, text_col)
+    rows = with_row(docs, id_col, text_col)
     parts = blocks(benchmark, item_col, item_text, block_words)
     out = _scanned(rows, *next(parts), window)
     more = [
-        stored(_scanned(rows, *part, window).where(F.size("spans") > 0).select("doc_id", text_digest(F.col("text")).alias("content"), "spans", "items"), "block-hits")
+        stored(_scanned(rows.drop("row"), *part, window).where(F.size("spans") > 0).select("doc_id", text_digest(F.col("text")).alias("content"), "spans", "items"), "block-hits")
         for part in parts
     ]
     if not more:
-        return out.withColumnRenamed("doc_id", id_col)
+        return out
     hits = functools.reduce(DataFrame.unionByName, more).groupBy(F.col("doc_id").alias("d"), "content")
     hits = hits.agg(F.flatten(F.collect_list("spans")).alias("more_spans"), F.flatten(F.collect_list("items")).alias("more_items"))
     none = F.array().cast("array<string>")
     joined = out.join(hits, F.col("doc_id").eqNullSafe(F.col("d")) & (text_digest(F.col("text")) == F.col("content")), "left")
     return joined.select(
-        F.col("doc_id").alias(id_col), "text", "n_words",
-        _union(F.concat("spans", F.coalesce("more_spans", none.cast("array<array<bigint>>")))).alias("spans"),
+        "doc_id", "text", "row", "n_words",
+        _union(F.concat("spans", F.coalesce("more_spans", F.array().cast("array<array<bigint>>")))).alias("spans"),
         F.array_sort(F.array_union("items", F.coalesce("more_items", none))).alias("items"),
     )
 
@@ -274,31 +274,30 @@ def n_hit() -> Column:
     return F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x[1] - x[0])
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, **names) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", **names) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document; see ``scan_documents``."""
-    found = scan_documents(docs, benchmark, window, **names)
+    found = scan_documents(docs, benchmark, window, id_col=id_col, **names)
     return found.select(
-        found.columns[0], "n_words", n_hit().alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.col("doc_id").alias(id_col), "n_words", n_hit().alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit() > 0).alias("contaminated"),
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, span_limit: int = 10, coverage_limit: float = 0.5, **names) -> DataFrame:
-    """doc_id, text, n_cut: documents without the spans of ``span_limit`` words or more that items share with them.
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, window: int = 10, span_limit: int = 10, coverage_limit: float = 0.5, text_col: str = "text", **names
+) -> DataFrame:
+    """``docs`` with the spans of ``span_limit`` words or more that items share with them cut from their texts.
 
-    A document of which more than ``coverage_limit`` of the words are hit goes as a whole.  Null texts stay null.
+    A document of which more than ``coverage_limit`` of the words are hit goes as a whole.  Null texts stay null, and
+    all other columns stay as they are.
     """
-    found = scan_documents(docs, benchmark, window, **names)
-    kept = found.where(n_hit() <= F.lit(coverage_limit) * F.col("n_words"))
-    columns = {"doc_id": arrow_type(found.schema[0].dataType), "text": pa.string(), "n_cut": pa.int64()}
+    found = scan_documents(docs, benchmark, window, text_col=text_col, **names)
+    kept = found.where(n_hit() <= F.lit(coverage_limit) * F.col("n_words")).select("row", "text", F.filter("spans", lambda x: x[1] - x[0] >= span_limit).alias("spans"))
+    schema = more_columns(kept.select("row"), text=StringType())
 
     def cut(batch: pa.RecordBatch) -> dict:
-        texts, n_cut = [], []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist()):
-            long = [x for x in spans if x[1] - x[0] >= span_limit]
-            texts.append(cut_spans(text, long) if long else text)
-            n_cut.append(sum(b - a for a, b in long))
-        return {"doc_id": batch.column(0), "text": texts, "n_cut": n_cut}
-
-    out = kept.select(found.columns[0], "text", "spans").mapInArrow(by_batch(columns, cut), f"doc_id {kind(found, found.columns[0])}, text string, n_cut bigint")
-    return out.withColumnRenamed("doc_id", found.columns[0])
+        pairs = zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())
+        return {"row": batch.column("row"), "text": [cut_spans(t, spans) if spans else t for t, spans in pairs]}
+
+    out = kept.mapInArrow(by_batch(arrow_columns(schema), cut), schema)
+    return out.select(*(F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns))

@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
-from tidemill.llm.base import arrow_type, by_batch
+from tidemill.llm.base import arrow_columns, by_batch, more_columns, with_row
 
 UNKNOWN = "und"
 #: lengths, in bytes, of the n-grams of the blended spectrum
@@ -135,10 +136,10 @@ def learn(train: DataFrame, per_language: int = FIT_PER_LANGUAGE) -> Model | Non
 
 
 def predict(docs: DataFrame, model: Model | None, sharpness: float = 4.0) -> DataFrame:
-    """(doc_id, text) with lang_pred and score: the language of the largest output, and its share in the softmax of
-    ``sharpness`` times the outputs.  A text that is null or has no letter is ``und`` with score 0, and so is every
-    text where there was nothing to learn from."""
-    columns = {f.name: arrow_type(f.dataType) for f in docs.schema.fields} | {"lang_pred": pa.string(), "score": pa.float64()}
+    """``docs``, which have a text, with lang_pred and score: the language of the largest output, and its share in the
+    softmax of ``sharpness`` times the outputs.  A text that is null or has no letter is ``und`` with score 0, and so is
+    every text where there was nothing to learn from."""
+    schema = more_columns(docs, lang_pred=StringType(), score=DoubleType())
 
     def rows(batch: pa.RecordBatch) -> dict:
         texts = batch.column("text").to_pylist()
@@ -152,8 +153,7 @@ def predict(docs: DataFrame, model: Model | None, sharpness: float = 4.0) -> Dat
                 name[i], score[i] = model.classes[best], float(at)
         return {c: batch.column(c) for c in batch.schema.names} | {"lang_pred": name, "score": score}
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields) + ", lang_pred string, score double"
-    return docs.mapInArrow(by_batch(columns, rows), schema)
+    return docs.mapInArrow(by_batch(arrow_columns(schema), rows), schema)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -170,3 +170,10 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     model = learn(rows.where(~held_out(F.col("doc_id"))))
     found = predict(rows.select("doc_id", "text"), model)
     return found.select(F.col("doc_id").alias(id_col), held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def keep_identified(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose language is identified with a score of ``least`` or more, as they came."""
+    rows = with_row(docs, id_col, text_col)
+    model = learn(rows.select("doc_id", "text", F.col(f"row.`{lang_col}`").cast("string").alias("lang")).where(~held_out(F.col("doc_id"))))
+    return predict(rows.select("row", "text"), model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
