@@ -84,7 +84,7 @@ FROM d JOIN reach ON reach.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP
 
 @query("op10_minhash_near_dedup", NEAR_DUPLICATES_SQL)
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85).drop("content")
 
 
 @query("op4_language_id")
