@@ -156,6 +156,11 @@ def bloom_size(expected: int, error: float) -> tuple[int, int]:
     return bits, max(1, int(bits / expected * math.log(2)))
 
 
+def distinct_texts(df: DataFrame, text: str) -> int:
+    """Counted by digest, so that no text is shuffled."""
+    return max(1, df.where(F.col(text).isNotNull()).agg(F.count_distinct(F.sha2(text, 256))).first()[0])
+
+
 def bloom_positions(df: DataFrame, text: str, bits: int, hashes: int) -> DataFrame:
     """Every row once per hash, with its bit position."""
     numbered = df.withColumn("hash_no", F.explode(F.sequence(F.lit(0), F.lit(hashes - 1))))
@@ -177,13 +182,15 @@ def bloom_probe(df: DataFrame, text: str, bloom: DataFrame, bits: int, hashes: i
     return pos.join(bloom, "word", "left").groupBy(text).agg((F.min(hit) == 1).alias("maybe_seen"))
 
 
-def dedup_probabilistic(df: DataFrame, text: str, order: str, seen: DataFrame, expected: int, error: float = 0.01) -> DataFrame:
-    """First rows of the texts that are not among the seen ones.
+def dedup_probabilistic(df: DataFrame, text: str, order: str, seen: DataFrame | None = None, error: float = 0.01) -> DataFrame:
+    """First rows of the texts that are not among the seen ones, if there are any.
 
-    Texts outside the Bloom filter are new for sure; only the others are looked up
-    exactly, so a false alarm loses nothing.
+    The Bloom filter is sized for the distinct texts counted in ``seen``.  Texts outside of it are new for sure; only the
+    others are looked up exactly, so a false alarm loses nothing.
     """
-    bits, hashes = bloom_size(expected, error)
+    if seen is None:
+        return dedup_exact(df, [text], order)
+    bits, hashes = bloom_size(distinct_texts(seen, text), error)
     probe = bloom_probe(df, text, bloom_build(seen, text, bits, hashes), bits, hashes)
     fresh = dedup_exact(df, [text], order).join(probe, text)
     known = seen.select(text).distinct()
@@ -238,23 +245,17 @@ def minhash_signature(df: DataFrame, text: str, name: str = "signature", hashes:
 # ---- choice of method and report
 
 
-def choose_method(n: int) -> str:
-    """By size: exact below 1,000, fuzzy below 10,000, probabilistic below 100,000, then sharded."""
-    return "exact" if n < 1_000 else "fuzzy" if n < 10_000 else "probabilistic" if n < 100_000 else "scalable"
-
-
-def dedup_auto(df: DataFrame, id_col: str, text: str, method: str = "auto", threshold: float = 0.8, shards: int = 64) -> tuple[DataFrame, str]:
-    """(kept rows, method used)."""
-    n = df.count()
-    chosen = choose_method(n) if method == "auto" else method
-    if chosen == "exact":
-        return dedup_exact(df, [text], id_col), chosen
-    if chosen == "fuzzy":
-        return dedup_fuzzy(df, id_col, text, threshold), chosen
-    if chosen == "probabilistic":
-        return dedup_probabilistic(df, text, id_col, df.limit(0), max(n, 1)), chosen
-    if chosen == "scalable":
-        return dedup_sharded(df, text, id_col, shards).select(*df.columns), chosen
+def dedup_auto(df: DataFrame, id_col: str, text: str, method: str = "fuzzy", threshold: float = 0.8, shards: int = 64) -> tuple[DataFrame, str]:
+    """(kept rows, method used).  The method is the caller's and never the table's size, so that a table that grows
+    is still cleaned by the same rule; near copies go unless another method is named."""
+    if method == "exact":
+        return dedup_exact(df, [text], id_col), method
+    if method == "fuzzy":
+        return dedup_fuzzy(df, id_col, text, threshold), method
+    if method == "probabilistic":
+        return dedup_probabilistic(df, text, id_col), method
+    if method == "scalable":
+        return dedup_sharded(df, text, id_col, shards).select(*df.columns), method
     raise ValueError(f"unknown method {method}")
 
 

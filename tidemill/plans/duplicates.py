@@ -270,23 +270,31 @@ def confidence(spark, sf):
 
 # ---- Bloom filter, MinHash
 
-BITS, HASHES = D.bloom_size(10_000, 0.01)
+# the filters are sized for the distinct texts that they hold
+def sized_sql(where):
+    return f"""sized AS (SELECT bits, greatest(1, CAST(floor(bits / n * ln(2)) AS BIGINT)) AS hashes FROM (
+ SELECT CAST(floor(-(n * ln(0.01)) / (ln(2) * ln(2))) AS BIGINT) AS bits, n FROM (SELECT count(DISTINCT text) AS n FROM documents WHERE {where})))"""
 
 
-@query("bloom_build", sql=f"""WITH p AS (SELECT DISTINCT {mod_sql("md5(text || h)", BITS)} AS pos FROM documents, (SELECT unnest(range({HASHES})) AS h))
+def sized(df):
+    return D.bloom_size(D.distinct_texts(df, "text"), 0.01)
+
+
+@query("bloom_build", sql=f"""WITH {sized_sql("true")}, p AS (SELECT DISTINCT {mod_sql("md5(text || h)", "bits")} AS pos FROM (SELECT text, bits, unnest(range(hashes)) AS h FROM documents, sized))
 SELECT CAST(pos // 64 AS BIGINT) AS word, count(*) AS bits FROM p GROUP BY 1""")
 def bloom_words(spark, sf):
-    bloom = D.bloom_build(docs(spark, sf), "text", BITS, HASHES)
+    bloom = D.bloom_build(docs(spark, sf), "text", *sized(docs(spark, sf)))
     return bloom.select("word", F.bit_count("mask").cast("long").alias("bits"))
 
 
-@query("bloom_probe", sql=f"""WITH w AS (SELECT DISTINCT text, lang = 'en' AS is_en FROM documents),
- p AS (SELECT text, is_en, {mod_sql("md5(text || h)", BITS)} AS pos FROM w, (SELECT unnest(range({HASHES})) AS h)),
+@query("bloom_probe", sql=f"""WITH {sized_sql("lang = 'en'")}, w AS (SELECT DISTINCT text, lang = 'en' AS is_en FROM documents),
+ p AS (SELECT text, is_en, {mod_sql("md5(text || h)", "bits")} AS pos FROM (SELECT text, is_en, bits, unnest(range(hashes)) AS h FROM w, sized)),
  s AS (SELECT DISTINCT pos FROM p WHERE is_en)
 SELECT md5(text) AS digest, bool_and(s.pos IS NOT NULL) AS maybe_seen FROM p LEFT JOIN s USING (pos) GROUP BY text""")
 def bloom_hits(spark, sf):
     seen = docs(spark, sf).filter("lang = 'en'")
-    probe = D.bloom_probe(docs(spark, sf), "text", D.bloom_build(seen, "text", BITS, HASHES), BITS, HASHES)
+    bits, hashes = sized(seen)
+    probe = D.bloom_probe(docs(spark, sf), "text", D.bloom_build(seen, "text", bits, hashes), bits, hashes)
     return probe.select(F.md5("text").alias("digest"), "maybe_seen")
 
 
@@ -297,7 +305,7 @@ def probabilistic(spark, sf):
     middle = df.agg(F.max("doc_id")).first()[0] // 2
     one, two = df.filter(F.col("doc_id") <= middle), df.filter(F.col("doc_id") > middle)
     first = D.dedup_exact(one, ["text"], "doc_id")
-    return first.unionByName(D.dedup_probabilistic(two, "text", "doc_id", one, 10_000)).select("doc_id")
+    return first.unionByName(D.dedup_probabilistic(two, "text", "doc_id", one)).select("doc_id")
 
 
 def signature_sql(x):
@@ -321,7 +329,7 @@ def signature_match(spark, sf):
     return s.join(nxt, ["conv_id", "turn"]).select("conv_id", "turn", F.round(same, 9).alias("similarity"))
 
 
-@query("minhash_documents")
+@query("minhash_documents", sql=f"SELECT doc_id, md5(array_to_string({signature_sql('text')}, ' ')) AS digest FROM documents")
 def document_signatures(spark, sf):
     out = D.minhash_signature(docs(spark, sf), "text")
     return out.select("doc_id", F.md5(F.array_join("signature", " ")).alias("digest"))
@@ -331,30 +339,43 @@ def document_signatures(spark, sf):
 
 
 def _files(spark, sf):
-    """Pages written as text files below the shared folder, one per page and site, copies included."""
+    """One text file per page below the shared folder, and a copy of each page of the first 15 of 25 sites: which rows
+    share a file doesn't depend on the number of tasks."""
     out = fresh_dir(spark, "pages")
-    pages = table(spark, sf, "pages").select(F.col("html").alias("value"), (F.col("page_id") % 25).cast("string").alias("site"))
-    copies = pages.unionByName(pages.filter("site < '15'").withColumn("site", F.concat(F.lit("copy-"), "site")))
-    files.write_text_files(copies, out, ["site"])
+    pages = table(spark, sf, "pages").select(F.col("html").alias("value"), F.col("page_id"))
+    copies = pages.filter("page_id % 25 < 15").withColumn("part", F.lit("copy"))
+    files.write_text_files(pages.withColumn("part", F.lit("page")).unionByName(copies), out, ["part", "page_id"])
     return out
 
 
-@query("file_duplicates", "src_binary_files")
+# a text file ends with a line feed
+FILES = """files AS (SELECT page_id, part, md5(html || chr(10)) AS digest, CAST(strlen(html) + 1 AS BIGINT) AS size
+ FROM pages, (SELECT unnest(['page', 'copy']) AS part) WHERE part = 'page' OR page_id % 25 < 15)"""
+
+
+@query("file_duplicates", sql=f"WITH {FILES} SELECT digest, count(*) AS n_files, CAST(sum(size) AS BIGINT) AS bytes FROM files GROUP BY 1 HAVING count(*) > 1")
 def file_copies(spark, sf):
-    return files.duplicate_files(files.file_table(spark, _files(spark, sf)))
+    return files.duplicate_files(files.file_table(spark, _files(spark, sf))).drop("first_path")
 
 
-@query("file_keep_recommendation", "win_keep_newest_file")
+@query("file_keep_recommendation", "win_keep_newest_file", sql=f"""WITH {FILES} SELECT digest, count(*) - 1 AS n_delete, CAST(sum(size) - any_value(size) AS BIGINT) AS bytes_saved
+ FROM files GROUP BY 1 HAVING count(*) > 1""")
 def file_keep(spark, sf):
-    return files.keep_newest(files.file_table(spark, _files(spark, sf)))
+    return files.keep_newest(files.file_table(spark, _files(spark, sf))).drop("keep_path")
+
+
+@query("src_binary_files", sql=f"WITH {FILES} SELECT part, page_id, size, sha256(html || chr(10)) AS digest FROM files JOIN pages USING (page_id)")
+def file_list(spark, sf):
+    found = files.file_table(spark, _files(spark, sf), digest="sha256")
+    at = lambda c: F.regexp_extract("path", f"{c}=([^/]+)/", 1)
+    return found.select(at("part").alias("part"), at("page_id").cast("long").alias("page_id"), "size", "digest")
 
 
 # ---- choice and report
 
 
-@query("dedup_auto", sql=f"""{NAMES}, ex AS (SELECT min(p_partkey) AS k FROM parts GROUP BY p_name)
-SELECT p_partkey FROM parts WHERE (SELECT count(*) FROM parts) BETWEEN 1000 AND 9999 AND p_partkey IN (SELECT vid FROM lead WHERE vid = leader)
-UNION ALL SELECT k FROM ex WHERE (SELECT count(*) FROM parts) NOT BETWEEN 1000 AND 9999""")
+@query("dedup_auto", sql=f"""{NAMES}
+SELECT p_partkey FROM parts WHERE p_partkey IN (SELECT vid FROM lead WHERE vid = leader)""")
 def auto(spark, sf):
     return D.dedup_auto(parts(spark, sf), "p_partkey", "p_name", threshold=THRESHOLD)[0].select("p_partkey")
 

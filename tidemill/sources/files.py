@@ -20,11 +20,19 @@ def write_text_files(df: DataFrame, path: str, by: list[str]) -> None:
     df.write.mode("errorifexists").partitionBy(*by).text(path)
 
 
-def file_table(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """All files below a folder: path, name, size, modified, digest.
+DIGESTS = {
+    "md5": F.md5, "sha1": F.sha1, "sha256": lambda c: F.sha2(c, 256), "sha512": lambda c: F.sha2(c, 512),
+    "crc32": lambda c: F.lpad(F.lower(F.hex(F.crc32(c))), 8, "0"),
+}
+
+
+def file_table(spark: SparkSession, path: str, pattern: str | None = None, digest: str = "md5") -> DataFrame:
+    """All files below a folder: path, name, size, modified, digest (one of ``DIGESTS``).
 
     The content is read by the tasks and only its digest is kept.
     """
+    if digest not in DIGESTS:
+        raise ValueError(f"unknown digest {digest}")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -33,7 +41,7 @@ def file_table(spark: SparkSession, path: str, pattern: str | None = None) -> Da
         F.element_at(F.split("path", "/"), -1).alias("name"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("modified"),
-        F.md5("content").alias("digest"),
+        DIGESTS[digest]("content").alias("digest"),
     )
 
 
