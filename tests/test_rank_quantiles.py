@@ -53,3 +53,10 @@ def test_quantiles_exact(spark, small):
     by = Q.exact_quantiles(df, ["x"], [0.5], by=["g"], small_rows=small).collect()
     g = np.arange(len(x)) % 3
     assert {r.g: r.x_p50 for r in by} == pytest.approx({k: np.quantile(x[g == k], 0.5) for k in range(3)})
+
+
+@pytest.mark.parametrize("small", [10**6, 3])
+def test_quantiles_of_many_groups(spark, small):
+    df = spark.range(50_000).selectExpr("id % 12500 AS g", "CAST(id DIV 12500 AS DOUBLE) + id % 12500 AS x").unionByName(spark.createDataFrame([(None, 5.0)], "g long, x double"))
+    got = {r.g: r.x_p50 for r in Q.exact_quantiles(df, ["x"], [0.5], by=["g"], small_rows=small).collect()}
+    assert got == {None: 5.0} | {g: g + 1.5 for g in range(12_500)}

@@ -1,7 +1,7 @@
 """Exact quantiles with linear interpolation.
 
 The built-in ``percentile`` keeps every distinct value of a group in one task, so
-it serves only tables of a checked size.  Beyond it the wanted ranks are found by
+it serves only tables and groups of a checked size.  Beyond it the wanted ranks are found by
 histogram passes: each pass counts the values of an interval in bins and goes on
 inside the bin that holds the rank.  A pass shuffles bin counts, never rows.
 """
@@ -12,8 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemill.session import cut
+
 SMALL_ROWS = 1_000_000
-MAX_GROUPS = 10_000
+#: groups that one refinement handles at a time
+GROUPS_AT_ONCE = 10_000
 
 
 def _long(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
@@ -26,9 +29,7 @@ def _ranks(df: DataFrame, columns: list[str], probs: list[float], by: list[str],
     """(group, column, prob) -> value, by refinement."""
     spark = df.sparkSession
     long = _long(df, columns, by)
-    spans = long.groupBy("g", "c").agg(F.count("x"), F.min("x"), F.max("x")).limit(MAX_GROUPS * len(columns) + 1).collect()
-    if len(spans) > MAX_GROUPS * len(columns):
-        raise ValueError(f"more than {MAX_GROUPS} groups: use groupBy with percentile for many small groups")
+    spans = long.groupBy("g", "c").agg(F.count("x"), F.min("x"), F.max("x")).collect()  # of the groups of one block
     size = {(r[0], r[1]): r[2] for r in spans}
     found: dict[tuple, float] = {}
     todo: dict[tuple, tuple] = {}  # (g, c, rank) -> (lo, hi, rows before lo)
@@ -44,7 +45,7 @@ def _ranks(df: DataFrame, columns: list[str], probs: list[float], by: list[str],
     while todo:
         cells = sorted({(g, c, lo, hi) for (g, c, _), (lo, hi, _) in todo.items()})
         step = max(16, min(bins, 4_000_000 // len(cells)))
-        bounds = F.broadcast(spark.createDataFrame(cells, schema))  # at most MAX_GROUPS x columns x probs rows
+        bounds = F.broadcast(spark.createDataFrame(cells, schema))  # at most GROUPS_AT_ONCE x columns x probs rows
         pos = (F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * step
         hits = long.join(bounds, ["g", "c"]).filter("x >= lo AND x <= hi")
         rows = (
@@ -87,14 +88,36 @@ def exact_quantiles(
     small_rows: int = SMALL_ROWS,
     bins: int = 4096,
 ) -> DataFrame:
-    """One row (per group) with a column ``<name>_p<percent>`` per column and share."""
+    """One row (per group) with a column ``<name>_p<percent>`` per column and share.
+
+    Groups of up to ``small_rows`` rows, however many, come from the built-in aggregate; larger ones are refined, in
+    blocks of ``GROUPS_AT_ONCE``.
+    """
     by = by or []
-    if df.count() <= small_rows:
-        # all shares of a column from one table of its values
-        aggs = [F.percentile(c, list(probs)).alias(f"__{i}") for i, c in enumerate(columns)]
-        out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-        picked = [F.col(f"__{i}")[j].alias(quantile_name(c, p)) for i, c in enumerate(columns) for j, p in enumerate(probs)]
-        return out.select(*by, *picked)
+    if not by:
+        return _built_in(df, columns, probs, by) if df.count() <= small_rows else _refined(df, columns, probs, by, bins)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    large = cut(sizes.filter(F.col("__n") > small_rows).select(*by))
+    if large.isEmpty():
+        return _built_in(df, columns, probs, by)
+    same = lambda part: [df[b].eqNullSafe(part[b]) for b in by]
+    out = _built_in(df.join(large, same(large), "left_anti"), columns, probs, by)
+    blocks = -(-large.count() // GROUPS_AT_ONCE)
+    for i in range(blocks):
+        part = large.filter(F.pmod(F.xxhash64(*by), F.lit(blocks)) == i) if blocks > 1 else large
+        out = out.unionByName(_refined(df.join(part, same(part), "left_semi"), columns, probs, by, bins))
+    return out
+
+
+def _built_in(df: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> DataFrame:
+    # all shares of a column from one table of its values
+    aggs = [F.percentile(c, list(probs)).alias(f"__{i}") for i, c in enumerate(columns)]
+    out = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    picked = [F.col(f"__{i}")[j].alias(quantile_name(c, p)) for i, c in enumerate(columns) for j, p in enumerate(probs)]
+    return out.select(*by, *picked)
+
+
+def _refined(df: DataFrame, columns: list[str], probs: list[float], by: list[str], bins: int) -> DataFrame:
     spark = df.sparkSession
     values = _ranks(df, columns, probs, by, bins)
     names = [quantile_name(c, p) for c in columns for p in probs]
