@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, StopWordsRemover
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +16,22 @@ from tidemill.functions import text as X
 from tidemill.session import small
 
 
-def english_stop_words() -> list[str]:
-    return StopWordsRemover.loadDefaultStopWords("english")
+#: fixed values: the default English stop words of Spark ML
+STOP_WORDS = """
+    i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers herself it its
+    itself they them their theirs themselves what which who whom this that these those am is are was were be been being have
+    has had having do does did doing a an the and but if or because as until while of at by for with about against between
+    into through during before after above below to from up down in out on off over under again further then once here there
+    when where why how all any both each few more most other some such no nor not only own same so than too very s t can
+    will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's
+    it's we're they're i've we've you've they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't
+    won't wouldn't shan't shouldn't mustn't can't couldn't cannot could here's how's let's ought that's there's what's
+    when's where's who's why's would
+""".split()
 
 
 def without(tokens: Column, words: list[str]) -> Column:
-    """Tokens outside a word list; repeats stay."""
-    if len(words) > 5_000:
-        raise ValueError("use an anti join for long lists")
+    """Tokens outside a word list, which Spark looks up as a set; repeats stay."""
     return F.filter(tokens, lambda t: ~t.isin(words))
 
 
@@ -79,8 +87,11 @@ def sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame) -> Data
 # ---- topics
 
 
-def vectorize(df: DataFrame, tokens: str, size: int = 1 << 18) -> tuple[DataFrame, CountVectorizerModel]:
-    model = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=size).fit(df)
+def vectorize(df: DataFrame, tokens: str) -> tuple[DataFrame, CountVectorizerModel]:
+    """Bags of all words.  The vocabulary is counted first, so that no word falls out; it is held by the driver, as
+    the topic model that is fitted on it is."""
+    size = frequencies(df, F.col(tokens)).count()
+    model = CountVectorizer(inputCol=tokens, outputCol="features", vocabSize=max(1, size)).fit(df)
     return model.transform(df), model
 
 

@@ -7,15 +7,14 @@ from tidemill.operators import stats as S
 from tidemill.operators import texts as T
 from tidemill.plans.joins import LEXICON, lexicon
 from tidemill.plans.registry import query
-from tidemill.session import table
+from tidemill.session import cut, table
 
-# a short list, so that the check can name the same words; the operator takes any list
-STOP = ["the", "of", "and", "in", "la", "le", "et", "der", "die", "und", "is", "to"]
+STOP = T.STOP_WORDS
 CLEAN = r"trim(regexp_replace(regexp_replace(lower(text), '[[:punct:]]', ' ', 'g'), '\s+', ' ', 'g'))"
-STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
-TOKENS = f"""tok AS (SELECT doc_id, list_filter(string_split({CLEAN}, ' '), lambda w: w <> '' AND NOT regexp_full_match(w, '[0-9]+')) AS w FROM documents),
- kept AS (SELECT doc_id, list_filter(w, lambda x: x NOT IN ({STOP_SQL})) AS w FROM tok),
- freq AS (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM kept) GROUP BY 1)"""
+STOP_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP)
+TOKENS = f"""tok AS MATERIALIZED (SELECT doc_id, list_filter(string_split({CLEAN}, ' '), lambda w: w <> '' AND NOT regexp_full_match(w, '[0-9]+')) AS w FROM documents),
+ kept AS MATERIALIZED (SELECT doc_id, list_filter(w, lambda x: x NOT IN ({STOP_SQL})) AS w FROM tok),
+ freq AS MATERIALIZED (SELECT word, count(*) AS n FROM (SELECT unnest(w) AS word FROM kept) GROUP BY 1)"""
 
 
 def tokens(spark, sf):
@@ -46,11 +45,11 @@ def min_length(spark, sf):
 
 
 @query("text_token_count", sql=f"""WITH {TOKENS}
-SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, (SELECT CAST(sum(len(w)) AS BIGINT) FROM tok) AS n_all FROM tok ORDER BY doc_id LIMIT 200""")
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_tokens, (SELECT CAST(sum(len(w)) AS BIGINT) FROM tok) AS n_all FROM tok""")
 def token_count(spark, sf):
     df = tokens(spark, sf).select("doc_id", F.size("w").cast("long").alias("n_tokens"))
     total = df.agg(F.sum("n_tokens")).first()[0]
-    return df.orderBy("doc_id").limit(200).withColumn("n_all", F.lit(total).cast("long"))
+    return df.withColumn("n_all", F.lit(total).cast("long"))
 
 
 def gram_sql(n):
@@ -87,21 +86,21 @@ AFTER = f"after AS (SELECT coalesce(lemma, word) AS word, CAST(sum(n) AS BIGINT)
 
 @query("text_lemma", sql=f"WITH {TOKENS}, {LEMMA}, {AFTER} SELECT * FROM after")
 def lemma(spark, sf):
-    f = freq(spark, sf)
+    f = cut(freq(spark, sf))
     return T.lemma_counts(f, lemmas(f))
 
 
 @query("text_freq_delta", sql=f"""WITH {TOKENS}, {LEMMA}, {AFTER}
 SELECT word, coalesce(f.n, 0) AS before, coalesce(a.n, 0) AS after, coalesce(a.n, 0) - coalesce(f.n, 0) AS delta FROM freq f FULL JOIN after a USING (word)""")
 def delta(spark, sf):
-    f = freq(spark, sf)
+    f = cut(freq(spark, sf))
     return T.frequency_delta(f, T.lemma_counts(f, lemmas(f)))
 
 
 @query("text_tag_counts", sql=f"""WITH {TOKENS}, tags AS (SELECT word, CASE WHEN word LIKE '%ing' THEN 'VBG' ELSE 'RB' END AS tag FROM freq WHERE word LIKE '%ing' OR word LIKE '%ly')
 SELECT coalesce(tag, 'NN') AS tag, CAST(sum(n) AS BIGINT) AS n FROM freq LEFT JOIN tags USING (word) GROUP BY 1""")
 def tags(spark, sf):
-    f = freq(spark, sf)
+    f = cut(freq(spark, sf))
     known = f.filter("word LIKE '%ing' OR word LIKE '%ly'").select("word", F.expr("CASE WHEN word LIKE '%ing' THEN 'VBG' ELSE 'RB' END AS tag"))
     return T.tag_counts(f, known)
 
@@ -169,4 +168,4 @@ def windows(spark, sf):
 
 @query("text_lda_scan")
 def scan(spark, sf):
-    return T.topic_scan(kept(spark, sf), "w", [2, 4, 8], passes=5)
+    return T.topic_scan(kept(spark, sf), "w", list(range(2, 30)), passes=10)
