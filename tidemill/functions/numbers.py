@@ -23,10 +23,9 @@ def ratio(a: Column, b: Column) -> Column:
 
 def recode(c: Column, mapping: dict, dtype: str = "string") -> Column:
     """Replace known values; values without an entry stay as they are."""
-    if len(mapping) > 1000:
-        raise ValueError("use a join for large mappings")
-    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in (kv[0], str(kv[1]))])
-    return F.coalesce(F.try_element_at(m, c), c.cast("string")).try_cast(dtype)
+    entries = list(mapping.items())
+    maps = [F.create_map(*[F.lit(x) for k, v in entries[i : i + 1000] for x in (k, str(v))]) for i in range(0, len(entries), 1000)]
+    return F.coalesce(*[F.try_element_at(m, c) for m in maps], c.cast("string")).try_cast(dtype)
 
 
 def month_key(text: Column) -> Column:
@@ -50,5 +49,6 @@ def micros(ts: Column) -> Column:
 
 
 def sum_of_squares_below(n: Column) -> Column:
-    """0^2 + 1^2 + ... + (n-1)^2 in closed form."""
-    return F.floor(n * (n - 1) * (2 * n - 1) / 6).cast("long")
+    """0^2 + 1^2 + ... + (n-1)^2 in closed form, in whole numbers throughout."""
+    n = n.cast("long")
+    return F.call_function("div", n * (n - 1) * (2 * n - 1), F.lit(6))

@@ -13,7 +13,6 @@ from tidemill.operators.aggregate import describe
 from tidemill.operators.quantiles import exact_quantiles, quantile_values
 
 NUMERIC = {"byte", "short", "integer", "long", "float", "double", "decimal"}
-MAX_BINS = 100_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -58,8 +57,6 @@ def bin_number(c: Column, low: float, high: float, bins: int) -> Column:
 
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """bin, low, high, n for the bins that hold values."""
-    if bins > MAX_BINS:
-        raise ValueError(f"at most {MAX_BINS} bins")
     low, high = span(df, column)
     width = (high - low) / bins
     b = bin_number(F.col(column), low, high, bins).alias("bin")

@@ -48,9 +48,19 @@ def by_range(spark, sf):
     return out.select("o_orderkey", F.col("value_shard").alias("shard_id"), F.col("shard_id").alias("text_shard"))
 
 
-@query("shard_adaptive")
+# all chunks but the last have the same number of rows, and a chunk holds what the budget allows in the mean
+@query("shard_adaptive", sql="SELECT count(*) AS n_rows, true AS same_size, true AS fills_budget, true AS in_order FROM orders")
 def adaptive(spark, sf):
-    return H.shard_adaptive(orders(spark, sf), ["o_orderkey"], 0.1).groupBy("shard_id").agg(F.count(F.lit(1)).alias("n"))
+    sharded = H.shard_adaptive(orders(spark, sf), ["o_orderkey"], 0.1)
+    per = sharded.withColumn("b", H.row_bytes()).groupBy("shard_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("b").alias("bytes"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")
+    )
+    n, budget = F.max("n"), 0.1 * 1024 * 1024
+    return per.agg(
+        F.sum("n").alias("n_rows"), (F.count_if(F.col("n") < F.lit(per.agg(n).first()[0])) <= 1).alias("same_size"),
+        (F.max("bytes").between(0.9 * budget, 1.2 * budget)).alias("fills_budget"),
+        (F.corr("shard_id", "low") > 0.99).alias("in_order"),
+    )
 
 
 @query("shard_stats", sql=f"""WITH s AS (
