@@ -95,7 +95,7 @@ TRIP = ["distance", "moving_time", "max_speed"]
 @query("ml_rf_impute")
 def impute(spark, sf):
     df = cut(measured(spark, sf))
-    out, _ = M.forest_impute(df, "row_id", "fuel", TRIP, trees=20)
+    out, _ = M.forest_impute(df, "row_id", "fuel", TRIP)
     return out.select("row_id", "fuel")
 
 
@@ -158,11 +158,11 @@ def scaled_cv(spark, sf):
     return out.agg(F.avg("accuracy").alias("mean_accuracy"), F.stddev_pop("accuracy").alias("std_accuracy"))
 
 
-# ---- clusters; the first 13 numbers of each embedding stand for 13 measurements
+# ---- clusters of the embeddings
 
 
 def points(spark, sf):
-    return M.vectors(table(spark, sf, "embeddings"), "embedding", 13).select("vec_id", "label", "features")
+    return M.vectors(table(spark, sf, "embeddings"), "embedding", 64).select("vec_id", "label", "features")
 
 
 @query("ml_kmeans")
@@ -171,7 +171,7 @@ def kmeans(spark, sf):
     return KMeans(k=3, seed=42).fit(df).transform(df).select("vec_id", "label", "prediction")
 
 
-KS = range(2, 13)
+KS = range(2, 30)
 
 
 @query("ml_kmeans_elbow")
