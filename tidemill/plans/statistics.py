@@ -100,16 +100,21 @@ def iqr(spark, sf):
     return S.drop_outliers(I.events(spark, sf).select("event_id", "value", "user_id"), ["value", "user_id"]).select("event_id")
 
 
-@query("ztest_two_sample", sql="""WITH x AS (SELECT n_name, o_totalprice AS v FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+Z_SQL = """WITH x AS (SELECT n_name, o_totalprice AS v FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
  a AS (SELECT count(*) AS n, avg(v) AS m, var_samp(v) AS s FROM x WHERE n_name = 'NATION_1'), b AS (SELECT count(*) AS n, avg(v) AS m, var_samp(v) AS s FROM x WHERE n_name = 'NATION_2')
-SELECT round((a.m - b.m) / sqrt(((a.n - 1) * a.s + (b.n - 1) * b.s) / (a.n + b.n - 2) * (1 / a.n + 1 / b.n)), 6) AS z FROM a, b""")
+SELECT round((a.m - b.m) / sqrt(((a.n - 1) * a.s + (b.n - 1) * b.s) / (a.n + b.n - 2) * (1 / a.n + 1 / b.n)), 6) AS z FROM a, b"""
+
+
+@query("ztest_two_sample", sql=Z_SQL)
 def z(spark, sf):
     return S.ztest(nation_prices(spark, sf), "o_totalprice", "n_name", "NATION_1", "NATION_2").select(F.round("z", 6).alias("z"))
 
 
-@query("ztest_decision")
+# at 5 % both ways the decision falls at 1.959964 standard deviations
+@query("ztest_decision", sql=f"""WITH t AS ({Z_SQL}) SELECT z, abs(z) > 1.959964 AS reject, true AS p_in_range FROM t""")
 def z_decision(spark, sf):
-    return S.ztest(nation_prices(spark, sf), "o_totalprice", "n_name", "NATION_1", "NATION_2")
+    out = S.ztest(nation_prices(spark, sf), "o_totalprice", "n_name", "NATION_1", "NATION_2")
+    return out.select(F.round("z", 6).alias("z"), "reject", F.col("p").between(0, 1).alias("p_in_range"))
 
 
 @query("series_stats", sql="SELECT round(avg(value), 6) AS mean, round(median(value), 6) AS median, round(stddev_samp(value), 6) AS std FROM events")
@@ -137,9 +142,10 @@ def euclid(spark, sf):
     return distances(spark, sf).select("user_id", F.round("euclidean", 6).alias("euclidean"))
 
 
-@query("user_cosine", sql=f"WITH {DENSE} SELECT user_id, round(abs(cosine), 6) AS cosine FROM dist")
+@query("user_cosine", sql=f"WITH {DENSE} SELECT user_id, round(CASE WHEN user_id = {USER} THEN abs(cosine) ELSE cosine END, 6) AS cosine FROM dist")
 def cosine(spark, sf):
-    return distances(spark, sf).select("user_id", F.round(F.abs("cosine"), 6).alias("cosine"))
+    own = F.when(F.col("user_id") == USER, F.abs("cosine")).otherwise(F.col("cosine"))  # 0 of either sign
+    return distances(spark, sf).select("user_id", F.round(own, 6).alias("cosine"))
 
 
 @query("nearest_users", sql=f"WITH {DENSE} SELECT user_id, round(euclidean, 6) AS euclidean FROM dist WHERE user_id <> {USER} ORDER BY 2, 1 LIMIT 10")

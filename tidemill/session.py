@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -20,6 +22,7 @@ TABLES = (
 COSTLY = {"documents", "lineitem", "conversations", "pages"}
 
 _local_dirs: dict[str, str] = {}
+_fresh_dirs: dict[str, list[str]] = {}
 
 
 def build_session(name: str = "tidemill", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -34,6 +37,7 @@ def build_session(name: str = "tidemill", master: str | None = None, shuffle_par
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         b = b.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
@@ -56,12 +60,23 @@ def shared_dir(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="tidemill-")
+        atexit.register(shutil.rmtree, _local_dirs[app], ignore_errors=True)
     return _local_dirs[app]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A new path under the shared folder; nothing is created yet.  ``remove_dirs`` removes all of a session's."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    _fresh_dirs.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_dirs(spark: SparkSession) -> None:
+    """Remove the intermediate folders of this session.  Results that still read them must be written before."""
+    conf = spark._jsc.hadoopConfiguration()
+    for path in _fresh_dirs.pop(spark.sparkContext.applicationId, []):
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(conf).delete(at, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -102,9 +117,11 @@ def to_ntz(df: DataFrame) -> DataFrame:
     return df
 
 
-def small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark a side for broadcast only after counting that it is small; else leave it to the shuffle join.
+def small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Mark a side for broadcast only after counting that its rows are few and take little room; else leave it to the shuffle join.
 
-    Counting evaluates the side once more: pass a side that is cheap or checkpointed.
+    Counting evaluates the side once more, up to ``max_rows``: pass a side that is cheap or checkpointed.
     """
-    return F.broadcast(df) if df.count() <= max_rows else df
+    size = F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    rows, room = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size)).first()
+    return F.broadcast(df) if rows <= max_rows and (room or 0) <= max_bytes else df

@@ -122,7 +122,7 @@ def fraud_alerts(df: DataFrame, most: int = 5, limit: float = 10_000.0, length:
     many, much = F.col("transaction_count") > most, F.col("total_amount") > limit
     return out.filter(many | much).select(
         "user_id", F.col("w.start").alias("window_start"), "transaction_count", "total_amount", "amounts",
-        F.when(many, "high_frequency").when(much, "high_value").otherwise("suspicious").alias("alert_type"),
+        F.when(many, "high_frequency").otherwise("high_value").alias("alert_type"),
         (F.col("transaction_count") * 10 + F.col("total_amount") / 1000).alias("risk_score"),
     )
 
