@@ -78,21 +78,20 @@ def parents(read: DataFrame) -> DataFrame:
 
 
 def _threads(links: DataFrame) -> DataFrame:
-    """``links`` with thread, the turn that its chain of answers began with, and level, how far from it: by doubled steps."""
-    state = stored(links.withColumn("thread", F.coalesce("reply_to", "turn")).withColumn("level", F.col("reply_to").isNotNull().cast("int")), "threads")
-    while True:
-        far = state.select("conv_id", F.col("turn").alias("thread"), F.col("thread").alias("further"), F.col("level").alias("more")).where("further <> thread")
-        if far.isEmpty():
-            return state
-        step = state.join(far, ["conv_id", "thread"], "left")
-        moved = F.col("further").isNotNull()
-        after = stored(
-            step.select("conv_id", "turn", "reply_to", "linked", F.coalesce("further", "thread").alias("thread"), (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"), moved.alias("moved")),
-            "threads",
-        )
-        state = after.drop("moved")
-        if after.where("moved").isEmpty():
-            return state
+    """``links`` with thread, the turn that its chain of answers began with, and level, how far from it.
+
+    By doubled steps: each round, messages that don't know their thread yet go on from where they have come to.
+    """
+    answers = F.col("reply_to").isNotNull()
+    state = stored(links.withColumn("thread", F.coalesce("reply_to", "turn")).withColumn("level", answers.cast("int")).withColumn("open", answers), "threads")
+    while not state.where("open").isEmpty():
+        ahead = state.where("reply_to IS NOT NULL").select("conv_id", F.col("turn").alias("thread"), F.col("thread").alias("further"), F.col("level").alias("more"), F.col("open").alias("goes_on"))
+        moved = state.where("open").join(ahead, ["conv_id", "thread"], "left").select(
+            "conv_id", "turn", "reply_to", "linked", F.coalesce("further", "thread").alias("thread"),
+            (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"), F.coalesce("goes_on", F.lit(False)).alias("open"),
+        )
+        state = stored(state.where("NOT open").unionByName(moved), "threads")
+    return state.drop("open")
 
 
 def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
