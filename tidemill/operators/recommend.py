@@ -16,13 +16,12 @@ from tidemill.session import small
 def user_distances(ratings: DataFrame, target: int) -> DataFrame:
     """user_id, euclidean, cosine: distances of every user (the target too) to the target.
 
-    ``ratings`` has one row per user_id and item_id with a rating.
+    ``ratings`` has one row per user_id and item_id with a rating and is read three times: cut it if it is costly.
     """
     r = ratings.select("user_id", "item_id", (F.col("rating") + 1).alias("r"))
-    items = r.select(F.countDistinct("item_id")).first()[0]
-    mine = r.filter(F.col("user_id") == target)
-    s0, q0 = mine.agg(F.coalesce(F.sum("r"), F.lit(0.0)), F.coalesce(F.sum(F.col("r") * F.col("r")), F.lit(0.0))).first()
-    own = small(mine.select("item_id", F.col("r").alias("t")))
+    own_r = F.when(F.col("user_id") == target, F.col("r"))
+    items, s0, q0 = r.agg(F.countDistinct("item_id"), F.coalesce(F.sum(own_r), F.lit(0.0)), F.coalesce(F.sum(own_r * own_r), F.lit(0.0))).first()
+    own = small(r.filter(F.col("user_id") == target).select("item_id", F.col("r").alias("t")))
     joined = r.join(own, "item_id", "left")
     per = joined.groupBy("user_id").agg(
         F.sum("r").alias("s"),

@@ -152,7 +152,7 @@ def scale(spark, sf):
     return out.select("customer_id", *[F.round(c, 6).alias(c) for c in cols])
 
 
-@query("ml_scaled_knn_cv")
+@query("ml_scaled_knn_cv", "ml_pipeline_cv")
 def scaled_cv(spark, sf):
     out = M.knn_cross_validation(cut(labelled(spark, sf)), FEATURES, "label", "customer_id", 18)
     return out.agg(F.avg("accuracy").alias("mean_accuracy"), F.stddev_pop("accuracy").alias("std_accuracy"))

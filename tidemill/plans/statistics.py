@@ -8,7 +8,7 @@ from tidemill.operators.phik import phik_matrix
 from tidemill.plans import inputs as I
 from tidemill.plans.aggregates import described, nation_prices, round_stats
 from tidemill.plans.registry import query
-from tidemill.session import table
+from tidemill.session import cut, table
 
 NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -134,7 +134,7 @@ DENSE = f"""{I.RATINGS}, u AS (SELECT DISTINCT user_id FROM ratings), i AS (SELE
 
 
 def distances(spark, sf):
-    return R.user_distances(I.ratings(spark, sf), USER)
+    return R.user_distances(cut(I.ratings(spark, sf)), USER)
 
 
 @query("user_euclidean", "join_user_pairs", sql=f"WITH {DENSE} SELECT user_id, round(euclidean, 6) AS euclidean FROM dist")
@@ -161,7 +161,8 @@ NEIGHBOUR = f"(SELECT user_id FROM dist WHERE user_id <> {USER} ORDER BY round(e
 SELECT item_id, p_name AS title FROM ratings JOIN part ON item_id = p_partkey WHERE user_id = {NEIGHBOUR} AND rating = 5
  AND item_id NOT IN (SELECT item_id FROM ratings WHERE user_id = {USER})""")
 def recommended(spark, sf):
-    ratings = I.ratings(spark, sf)
-    near = nearest(spark, sf).orderBy("euclidean", "user_id").first()["user_id"]
+    ratings = cut(I.ratings(spark, sf))
+    d = R.user_distances(ratings, USER).withColumn("euclidean", F.round("euclidean", 6))
+    near = R.nearest_users(d, USER, 1).first()["user_id"]
     titles = table(spark, sf, "part").select(F.col("p_partkey").alias("item_id"), F.col("p_name").alias("title"))
     return R.recommend(ratings, USER, near, titles)
