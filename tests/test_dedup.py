@@ -42,6 +42,16 @@ def test_pairs_lose_nothing(spark, threshold, block):
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
+def test_few_candidates_on_real_text(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id AS id", "substring(text, 1, 80) AS t")
+    prep = P._prefixes(P._prepared(P.distinct_values(docs, "id", ["t"]), "t"), (0.6 - P.LOWEST) / 0.6).collect()
+    load = {}
+    for r in prep:
+        for t in r.prefix:
+            load[t] = load.get(t, 0) + 1
+    assert sum(n * (n - 1) // 2 for n in load.values()) < 0.35 * len(prep) * (len(prep) - 1) / 2
+
+
 def test_pairs_refuse_low_threshold(spark):
     with pytest.raises(ValueError):
         P.similar_pairs(P.distinct_values(frame(spark, ["a"]), "id", ["t"]), "t", 0.3)
