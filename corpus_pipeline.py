@@ -6,13 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm import cotrain, decontaminate, langid, minhash, packing
-from tidemill.llm.base import stored
+from tidemill.llm.base import small_batches, stored
 from tidemill.llm.queries import SEQUENCE, WORD_BPE
 from tidemill.session import table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier finds good."""
+    small_batches(spark)
     return cotrain.keep_good(docs, table(spark, sf_dir, "labels"))
 
 

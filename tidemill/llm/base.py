@@ -5,13 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructField, StructType
 
 from tidemill.session import fresh_dir
 
 
+#: rows of one Arrow batch: texts are long, and a batch is held several times over while Python works on it
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Send rows to Python in small batches, so that a worker's memory is bounded by few texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write the rows to the shared folder and read them back: lost executors lose none of them."""
     path = fresh_dir(df.sparkSession, label)
@@ -38,6 +47,7 @@ def by_batch(columns: dict[str, pa.DataType], rows: Callable[[pa.RecordBatch], d
         for batch in batches:
             out = rows(batch)
             yield pa.RecordBatch.from_arrays([pa.array(out[c], type=t) for c, t in columns.items()], schema=schema)
+        pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
     return run
 

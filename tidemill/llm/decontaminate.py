@@ -198,7 +198,8 @@ def _automaton(key: str) -> list[SuffixAutomaton]:
     return []
 
 
-def _scanned(rows: DataFrame, ids: list[str], items: list[list[bytes]], window: int) -> DataFrame:
+def _scanned(rows: DataFrame, ids: list[str], items: list[list[bytes]], window: int, cut: tuple[int, float] | None = None) -> DataFrame:
+    """``rows`` with n_words, spans and items; with ``cut``, a span and a coverage limit, the rows that it leaves, cut."""
     key = uuid.uuid4().hex
     spans_type, items_type = ArrayType(ArrayType(LongType())), ArrayType(StringType())
     schema = more_columns(rows, n_words=LongType(), spans=spans_type, items=items_type)
@@ -214,16 +215,28 @@ def _scanned(rows: DataFrame, ids: list[str], items: list[list[bytes]], window:
             out["n_words"].append(len(words))
             out["spans"].append([list(x) for x in spans])
             out["items"].append(sorted({ids[i] for i in which}))
-        return out | {c: batch.column(c) for c in batch.schema.names}
+        out |= {c: batch.column(c) for c in batch.schema.names}
+        return _limited(out, *cut) if cut else out
 
     return rows.mapInArrow(by_batch(arrow_columns(schema), scan), schema)
 
 
+def _limited(found: dict, span_limit: int, coverage_limit: float) -> dict:
+    """Without the rows of which more than ``coverage_limit`` is hit, and without spans of ``span_limit`` words or more."""
+    hit = [sum(b - a for a, b in spans) for spans in found["spans"]]
+    keep = [i for i, n in enumerate(found["n_words"]) if hit[i] <= coverage_limit * n]
+    rows = pa.array(keep, type=pa.int64())
+    out = {c: x.take(rows) if isinstance(x, pa.Array) else [x[i] for i in keep] for c, x in found.items()}
+    long = [[x for x in spans if x[1] - x[0] >= span_limit] for spans in out["spans"]]
+    return out | {"text": [cut_spans(t, x) if x else t for t, x in zip(out["text"].to_pylist(), long)]}
+
+
 def scan_documents(
     docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text: str = "text", block_words: int = BLOCK_WORDS,
+    item_text: str = "text", block_words: int = BLOCK_WORDS, limits: tuple[int, float] | None = None,
 ) -> DataFrame:
-    """doc_id, text, row (the document as it came), n_words, spans, items of every document.
+    """doc_id, text, row (the document as it came), n_words, spans, items of every document; with ``limits``, of those
+    that ``decontaminate`` keeps, with the text that it leaves them.
 
     Words of test items go into a generalised suffix automaton; a document's words are run through it once, which
     gives the longest factor of any item that ends at each word.  Where that is ``window`` words or more, or a whole
@@ -239,22 +252,27 @@ def scan_documents(
     """
     rows = with_row(docs, id_col, text_col)
     parts = blocks(benchmark, item_col, item_text, block_words)
-    out = _scanned(rows, *next(parts), window)
+    first = next(parts)
     more = [
         stored(_scanned(rows.drop("row"), *part, window).where(F.size("spans") > 0).select("doc_id", text_digest(F.col("text")).alias("content"), "spans", "items"), "block-hits")
         for part in parts
     ]
+    out = _scanned(rows, *first, window, None if more else limits)
     if not more:
         return out
     hits = functools.reduce(DataFrame.unionByName, more).groupBy(F.col("doc_id").alias("d"), "content")
     hits = hits.agg(F.flatten(F.collect_list("spans")).alias("more_spans"), F.flatten(F.collect_list("items")).alias("more_items"))
     none = F.array().cast("array<string>")
     joined = out.join(hits, F.col("doc_id").eqNullSafe(F.col("d")) & (text_digest(F.col("text")) == F.col("content")), "left")
-    return joined.select(
+    out = joined.select(
         "doc_id", "text", "row", "n_words",
         _union(F.concat("spans", F.coalesce("more_spans", F.array().cast("array<array<bigint>>")))).alias("spans"),
         F.array_sort(F.array_union("items", F.coalesce("more_items", none))).alias("items"),
     )
+    if not limits:
+        return out
+    schema = out.schema
+    return out.mapInArrow(by_batch(arrow_columns(schema), lambda b: _limited({c: b.column(c) if c in ("doc_id", "text", "row") else b.column(c).to_pylist() for c in b.schema.names}, *limits)), schema)
 
 
 def _union(spans: Column) -> Column:
@@ -291,13 +309,6 @@ def decontaminate(
     A document of which more than ``coverage_limit`` of the words are hit goes as a whole.  Null texts stay null, and
     all other columns stay as they are.
     """
-    found = scan_documents(docs, benchmark, window, text_col=text_col, **names)
-    kept = found.where(n_hit() <= F.lit(coverage_limit) * F.col("n_words")).select("row", "text", F.filter("spans", lambda x: x[1] - x[0] >= span_limit).alias("spans"))
-    schema = more_columns(kept.select("row"), text=StringType())
-
-    def cut(batch: pa.RecordBatch) -> dict:
-        pairs = zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist())
-        return {"row": batch.column("row"), "text": [cut_spans(t, spans) if spans else t for t, spans in pairs]}
-
-    out = kept.mapInArrow(by_batch(arrow_columns(schema), cut), schema)
-    return out.select(*(F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+    limits = (span_limit, coverage_limit)
+    found = scan_documents(docs, benchmark, window, text_col=text_col, limits=limits, **names)
+    return found.select(*(F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns))

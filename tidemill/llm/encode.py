@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import json
 import os
 from collections.abc import Iterator
@@ -13,7 +12,7 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: UTF-8 bytes of texts that are looked at together
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 #: words put into one text for the library
 JOINED = 64
 
@@ -27,7 +26,7 @@ class WordEncoder:
     generations; the older one is let go when the younger is full.
     """
 
-    def __init__(self, path: str, max_words: int = 1_000_000):
+    def __init__(self, path: str, max_words: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -108,12 +107,6 @@ class WordEncoder:
             self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
 
 
-@functools.lru_cache(maxsize=2)
-def worker_encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker, so that the words of earlier batches are still known."""
-    return WordEncoder(path)
-
-
 def _slices(texts: pa.Array) -> Iterator[pa.Array]:
     size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0

@@ -174,14 +174,14 @@ def _linking(percent: int):
         order = np.argsort(col, kind="stable")
         row, col = row[order], col[order]
         common = np.zeros((len(node), len(node)), dtype=np.float32)
-        width = 4096
+        width = 2048
         for first in range(0, int((count > 1).sum()), width):
             at, to = np.searchsorted(col, [first, first + width])
             part = np.zeros((len(node), width), dtype=np.float32)
             part[row[at:to], col[at:to] - first] = 1
             common += part @ part.T
-        common = common.astype(np.int64)
-        union = size[:, None] + size[None, :] - common
+        common = common.astype(np.int32)
+        union = (size[:, None] + size[None, :]).astype(np.int32) - common
         similar = np.triu((100 * common >= percent * union) & (label[:, None] != label[None, :]), 1)
         up: dict[int, int] = {}
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm import ann, cotrain, decontaminate, html_text, langid, minhash, packing, quotes, token_counts, toxicity
+from tidemill.llm.base import BATCH_ROWS, small_batches
 from tidemill.session import fresh_dir, table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -18,9 +20,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: str | None = None, batch_rows: int = BATCH_ROWS):
     def wrap(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+            small_batches(spark, batch_rows)
+            return fn(spark, sf_dir, **options)
+
+        QUERIES[name] = run
         if sql:
             SQL[name] = sql
         return fn
@@ -107,7 +114,7 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-@query("op7_permutation_index")
+@query("op7_permutation_index", batch_rows=10_000)
 def permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 

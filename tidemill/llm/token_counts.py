@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.base import by_batch, stored, text_digest, two
-from tidemill.llm.encode import WordEncoder, worker_encoder
+from tidemill.llm.encode import WordEncoder
 
 
 def tokenizer_digest(path: str) -> str:
@@ -60,11 +60,15 @@ def token_counts(
         .select("digest", "content")
     )
 
-    def count(batch: pa.RecordBatch) -> dict:
-        encoder = worker_encoder(tokenizer)
+    def count(batches):
+        # one encoder for a task: the words of earlier batches are still known, and none are kept after it
+        encoder = WordEncoder(tokenizer)
+        return by_batch({"digest": pa.binary(), "n_tokens": pa.int64()}, lambda b: counted(b, encoder))(batches)
+
+    def counted(batch: pa.RecordBatch, encoder: WordEncoder) -> dict:
         return {"digest": batch.column("digest"), "n_tokens": [len(ids) // 4 for ids in encoder.encode(batch.column("content"))]}
 
-    fresh = texts.mapInArrow(by_batch({"digest": pa.binary(), "n_tokens": pa.int64()}, count), "digest binary, n_tokens bigint")
+    fresh = texts.mapInArrow(count, "digest binary, n_tokens bigint")
     fresh.write.mode("append").parquet(f"{cache_dir}/tokenizer={version}")
     counts = read_cache(spark, cache_dir, version)
     return keys.join(counts, "digest", "left").select(
