@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.base import arrow_type, by_batch, kind
+from tidemill.llm.base import arrow_type, by_batch, kind, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 #: beginnings of words that are features beside whole words, so that inflected forms share them
@@ -60,43 +60,42 @@ class Model:
         return sum(self.weights[f] for f in sorted(here))
 
 
-def tied(sets: list[set[str]], label: np.ndarray) -> dict[str, tuple[float, float]]:
-    """feature -> (chi-square, log odds) of the features that are tied to a 0/1 label."""
-    n1, n0 = max(1, int(label.sum())), max(1, int((1 - label).sum()))
-    count = (Counter(), Counter())
-    for s, y in zip(sets, label):
-        count[int(y)].update(s)
-    out = {}
-    for f in count[0].keys() | count[1].keys():
-        a, b = count[1][f], count[0][f]
-        if a + b < LEAST_ROWS:
-            continue
-        n, c, d = n1 + n0, n1 - a, n0 - b
-        chi = n * (a * d - b * c) ** 2 / max(1.0, float(a + b) * (c + d) * n1 * n0)
-        if chi >= LEAST_TIE:
-            out[f] = chi, float(np.log((a + 0.5) / (n1 + 1)) - np.log((b + 0.5) / (n0 + 1)))
-    return out
-
-
-def weak_grades(texts: list[str], toxic: np.ndarray, ties: dict[str, tuple[float, float]]) -> np.ndarray:
-    """0 for rows that aren't toxic; 1, or 2 from ``SEVERE_USES`` uses on of words tied to toxic rows, for those that are."""
-    bad = {f for f, (_, odds) in ties.items() if odds > 3}
-    uses = [sum(not bad.isdisjoint(features_of(w)) for w in words_of(t)) if y else 0 for t, y in zip(texts, toxic)]
-    return np.where(toxic > 0, np.where(np.array(uses, dtype=int) >= SEVERE_USES, 2, 1), 0)
-
+def tied(sample: DataFrame) -> dict[str, tuple[float, float]]:
+    """feature -> (chi-square, log odds) of the features of (toxic, text) that are tied to the 0/1 label.
 
-def fit(texts: list[str], grades: np.ndarray, weight: np.ndarray, ties: dict[str, tuple[float, float]], ridge: float = 0.15, steps: int = 400) -> Model:
-    """Weights and ordered cuts of least penalised log loss, by gradient steps of adapted length."""
-    names = sorted(ties)
-    place = {f: i for i, f in enumerate(names)}
-    rows, cols = [], []
-    for i, t in enumerate(texts):
-        here = {place[f] for w in set(words_of(t)) for f in features_of(w) if f in place}
-        rows += [i] * len(here)
-        cols += sorted(here)
-    rows, cols = np.array(rows, dtype=np.int64), np.array(cols, dtype=np.int64)
+    Features are counted by Spark; only those that are tied come to the driver.
+    """
+    each = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    n1, n0 = float(max(1, each.get(1, 0))), float(max(1, each.get(0, 0)))
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        out = {"toxic": [], "feature": []}
+        for label, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
+            here = {f for w in set(words_of(text)) for f in features_of(w)}
+            out["feature"].extend(here)
+            out["toxic"].extend([label] * len(here))
+        return out
+
+    found = sample.select("toxic", "text").mapInArrow(by_batch({"toxic": pa.int32(), "feature": pa.string()}, rows), "toxic int, feature string")
+    counts = found.groupBy("feature").agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
+    a, b = F.col("a"), F.col("b")
+    c, d = n1 - a, n0 - b
+    chi = (n1 + n0) * (a * d - b * c) ** 2 / F.greatest(F.lit(1.0), (a + b) * (c + d) * n1 * n0)
+    odds = F.log((a + 0.5) / (n1 + 1)) - F.log((b + 0.5) / (n0 + 1))
+    strong = counts.where(a + b >= LEAST_ROWS).select("feature", chi.alias("chi"), odds.alias("odds")).where(F.col("chi") >= LEAST_TIE)
+    return {r["feature"]: (r["chi"], r["odds"]) for r in strong.collect()}
+
+
+def fit(features: list[list[int]], names: list[str], grades: np.ndarray, weight: np.ndarray, ridge: float = 0.15, steps: int = 400) -> Model:
+    """Weights and ordered cuts of least penalised log loss, by gradient steps of adapted length.
+
+    ``features`` has, for each row, the numbers of the ``names`` that are in it.
+    """
+    n = max(1, len(features))
+    rows = np.repeat(np.arange(len(features)), [len(x) for x in features]).astype(np.int64)
+    cols = np.array([c for x in features for c in x], dtype=np.int64)
     top = int(grades.max(initial=0))
-    share = weight / weight.sum()
+    share = weight / max(1e-12, weight.sum())
     # unknowns: weights, first cut, logs of the gaps between cuts
     x = np.zeros(len(names) + top)
     if top:
@@ -106,13 +105,13 @@ def fit(texts: list[str], grades: np.ndarray, weight: np.ndarray, ties: dict[str
     for step in range(1, steps + 1 if top else 1):
         w, gaps = x[: len(names)], np.exp(x[len(names) + 1 :])
         cuts = x[len(names)] + np.concatenate([[0], np.cumsum(gaps)])
-        s = np.bincount(rows, w[cols], minlength=len(texts))
+        s = np.bincount(rows, w[cols], minlength=len(features))
         ends = np.concatenate([[-np.inf], cuts, [np.inf]])
         hi, lo = sig(ends[grades + 1] - s), sig(ends[grades] - s)
         p = np.maximum(hi - lo, 1e-12)
         d_hi, d_lo = share * hi * (1 - hi) / p, share * lo * (1 - lo) / p
         g = np.zeros_like(x)
-        g[: len(names)] = np.bincount(cols, (d_hi - d_lo)[rows], minlength=len(names)) + ridge * w / len(texts)
+        g[: len(names)] = np.bincount(cols, (d_hi - d_lo)[rows], minlength=len(names)) + ridge * w / n
         by_cut = np.bincount(grades, -d_hi, minlength=top + 1)[:top] + np.bincount(grades, d_lo, minlength=top + 1)[1:]
         g[len(names)] = by_cut.sum()
         g[len(names) + 1 :] = gaps * np.cumsum(by_cut[::-1])[::-1][1:]
@@ -124,25 +123,44 @@ def fit(texts: list[str], grades: np.ndarray, weight: np.ndarray, ties: dict[str
 
 def learn(docs: DataFrame, labels: DataFrame, per_label: int = FIT_PER_LABEL) -> Model:
     """A model from (doc_id, text) and (doc_id, toxic): of each label at most about ``per_label`` rows, chosen by a
-    hash of the id, and weighted so that both labels keep their share."""
+    hash of the id, and weighted so that both labels keep their share.  These bounded rows are what is broadcast.
+
+    Rows that aren't toxic have grade 0; the others 1, or 2 from ``SEVERE_USES`` uses on of words tied to toxic rows.
+    Of the rows, only the numbers of their tied features reach the driver.
+    """
     marked = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1)").distinct()
     counts = marked.groupBy("toxic").agg(F.count("*").alias("rows"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
     chosen = marked.join(counts, "toxic").where(draw * F.col("rows") < per_label)
-    sample = docs.where("text IS NOT NULL").join(chosen, "doc_id").select("doc_id", "toxic", "rows", "text").collect()
-    sample.sort(key=lambda r: (str(r["doc_id"]), r["toxic"], r["text"]))
-    texts, toxic = [r["text"] for r in sample], np.array([r["toxic"] for r in sample], dtype=np.int64)
+    sample = stored(docs.where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id").select("toxic", "rows", "text"), "toxicity-sample")
+    ties = tied(sample)
+    names = sorted(ties)
+    place = {f: i for i, f in enumerate(names)}
+    bad = {f for f, (_, odds) in ties.items() if odds > 3}
+
+    def rows(batch: pa.RecordBatch) -> dict:
+        cols, uses = [], []
+        for text in batch.column("text").to_pylist():
+            words = Counter(words_of(text))
+            here = {w: [f for f in features_of(w) if f in place] for w in words}
+            cols.append(sorted({place[f] for found in here.values() for f in found}))
+            uses.append(sum(n for w, n in words.items() if not bad.isdisjoint(here[w])))
+        return {"toxic": batch.column("toxic"), "rows": batch.column("rows"), "cols": cols, "uses": uses}
+
+    types = {"toxic": pa.int32(), "rows": pa.int64(), "cols": pa.list_(pa.int32()), "uses": pa.int64()}
+    found = sample.mapInArrow(by_batch(types, rows), "toxic int, rows bigint, cols array<int>, uses bigint").collect()
+    found.sort(key=lambda r: (r["toxic"], r["uses"], r["cols"]))
+    toxic, uses = np.array([r["toxic"] for r in found], dtype=np.int64), np.array([r["uses"] for r in found], dtype=np.int64)
     each = np.bincount(toxic, minlength=2)
-    weight = np.array([r["rows"] / each[r["toxic"]] for r in sample], dtype=float)
-    ties = tied([{f for w in set(words_of(t)) for f in features_of(w)} for t in texts], toxic)
-    return fit(texts, weak_grades(texts, toxic, ties), weight, ties)
+    weight = np.array([r["rows"] / each[r["toxic"]] for r in found], dtype=float)
+    return fit([r["cols"] for r in found], names, np.where(toxic > 0, np.where(uses >= SEVERE_USES, 2, 1), 0), weight)
 
 
-def score(docs: DataFrame, labels: DataFrame, cutoff: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, cutoff: float = 0.4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, p_toxic, severity, grade, toxic of every row: the probability of any grade above 0, the expected
     grade, the most probable grade, and whether ``p_toxic`` is over ``cutoff``.
 
-    ``labels`` has only toxic 0/1, so grades are told apart weakly (``weak_grades``); ``fit`` itself takes any ordered grades.
+    ``labels`` has only toxic 0/1, so grades are told apart weakly (see ``learn``); ``fit`` itself takes any ordered grades.
     Null and empty texts have no features and get what the cuts alone say; without labels, or with one label, nothing
     is toxic.  Repeated rows each give their row; rows of ``labels`` that are null, of other values or without a
     document are passed over; other columns are not read.
