@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from tidemill.llm.base import arrow_columns, by_batch, more_columns, with_row
+from tidemill.session import small
 
 UNKNOWN = "und"
 #: lengths, in bytes, of the n-grams of the blended spectrum
@@ -124,7 +125,7 @@ def learn(train: DataFrame, per_language: int = FIT_PER_LANGUAGE) -> Model | Non
     train = train.where("lang IS NOT NULL AND text IS NOT NULL")
     counts = train.groupBy("lang").agg(F.count("*").alias("rows"))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    chosen = train.join(counts, "lang").where(draw * F.col("rows") < per_language).select("lang", "text")
+    chosen = train.join(small(counts), "lang").where(draw * F.col("rows") < per_language).select("lang", "text")
 
     def rows(batch: pa.RecordBatch) -> dict:
         return {"lang": batch.column("lang"), "grams": [grams(t).tobytes() for t in batch.column("text").to_pylist()]}
