@@ -204,6 +204,30 @@ def test_views_exchange_labels():
     assert ((model.probabilities(pool_text, pool_meta)[2] > 0.5) == pool_y).mean() > 0.97
 
 
+def test_every_sure_row_is_exchanged(spark):
+    """The whole table is the pool: Spark's rounds are those of one pass over all unlabelled rows, also of a source seen nowhere else."""
+    import numpy as np
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(3_000):
+        good = i % 2 == 0
+        words = [f"w{rng.randrange(90)}" if good else rng.choice(["$$$", "###", "BUY"]) for _ in range(30)]
+        rows.append((i, " ".join(words), "en", "rare" if i == 2_999 else "a" if good else "b", 100))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(60)], "doc_id long, quality int")
+    found = cotrain.featured(cotrain.prepared(docs, "doc_id", "text", ("source", "lang"), "n_chars"))
+    model = cotrain.learn(found, labels)
+    local = sorted(found.collect(), key=lambda r: (str(r["doc_id"]),))
+    part = lambda test: [np.array([r[c] for r in local if test(r["doc_id"])], dtype=float) for c in ("content", "meta")]
+    marked = sorted(range(60), key=str)
+    want = cotrain.cotrain(*part(lambda i: i < 60), np.array([1.0 - i % 2 for i in marked]), *part(lambda i: i >= 60))
+    assert model.rounds == want.rounds and model.rounds[0][1] > 2_900
+    assert model.rounds[-1][1] == 2_940  # in the end the text view is sure of every row, the rare one too
+    for a, b in ((model.text, want.text), (model.meta, want.meta)):
+        assert np.allclose(a.beta, b.beta, atol=1e-6) and np.allclose(a.mean, b.mean) and np.allclose(a.scale, b.scale)
+
+
 def test_toxic_rows_are_found_and_graded(spark, odd, none):
     rng = random.Random(1)
     rows, labels = [], []
