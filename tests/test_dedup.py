@@ -42,6 +42,30 @@ def test_pairs_lose_nothing(spark, threshold, block):
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
+def test_whole_texts_are_compared(spark, tmp_path):
+    """Texts that differ only behind a long common beginning, or only in accents, are not alike as their beginnings are."""
+    from __spark_entry__ import queries
+
+    rnd = random.Random(5)
+    accents = "été élève forêt naïve größe straße señal niño über garçon".split()
+    words = lambda n: " ".join(rnd.choice(WORDS + accents) for _ in range(n))
+    start, end = words(18), words(30)
+    numbers = " ".join(f"{rnd.choice(WORDS)}{rnd.randrange(99)}" for _ in range(90))
+    texts = [f"{start} {words(90)}", f"{start} {numbers}"] + [f"{words(12)} {end} {words(k)}" for k in (1, 2, 3)]
+    texts += [words(30), texts[0], texts[4] + " été", "é à ü", "e a u", "ö ß ñ"]
+    assert len(start) > 80
+    path = str(tmp_path)
+    docs = [(i, t, "fr", "s", len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{path}/documents.parquet")
+    got = {(r.a, r.b): r.similarity for r in queries()["similar_texts"](spark, path).collect()}
+    ids = [i for i in range(len(texts)) if i != 6]  # a copy of the first
+    near = {(a, b): similarity(texts[a], texts[b]) for a in ids for b in ids if a < b}
+    want = {k: s for k, s in near.items() if s >= 0.6}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-8 for k in want)
+    cut80 = {(a, b) for a in ids for b in ids if a < b and similarity(texts[a][:80], texts[b][:80]) >= 0.6}
+    assert want and cut80 - want.keys() and want.keys() - cut80  # beginnings give pairs too many and too few
+
+
 def test_few_candidates_on_real_text(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").selectExpr("doc_id AS id", "substring(text, 1, 80) AS t")
     prep = P._prefixes(P._prepared(P.distinct_values(docs, "id", ["t"]), "t"), (0.6 - P.LOWEST) / 0.6).collect()

@@ -203,6 +203,13 @@ def similar_titles(spark, sf):
     return near.select("a", "b", F.round("similarity", 9).alias("similarity"))
 
 
+@query("similar_texts")
+def similar_texts(spark, sf):
+    # whole texts as they are; DuckDB's edit distance counts bytes, so there is no SQL
+    values = cut(P.distinct_values(docs(spark, sf), "doc_id", ["text"]))
+    return P.similar_pairs(values, "text", THRESHOLD).select("a", "b", F.round("similarity", 9).alias("similarity"))
+
+
 NAMES = f"WITH RECURSIVE {PARTS}, {values_sql('p_name', 'val')}, {edges_sql('val', 'edge', THRESHOLD)}, {greedy_sql('val', 'edge')}"
 
 
