@@ -80,6 +80,26 @@ def plain_best_fit(lengths, tokens, documents, attention):
     return len(bins)
 
 
+@pytest.mark.parametrize("measure", ["norm", "dot"])
+def test_scores_use_all_weights(measure):
+    """With one piece of each length the bins are those of the plain vector best fit, and not those of tokens alone."""
+    caps, weights = (64, 4, 1500), (1.0, 2.0, 3.0)
+    bins, left = {}, []
+    for n in range(30, 0, -1):
+        piece = (n, 1, n * n)
+        share = lambda b: [(x / c, p / c) for x, c, p in zip(left[b], caps, piece)]  # noqa: B023
+        norm = lambda b: sum((w * (x - p)) ** 2 for w, (x, p) in zip(weights, share(b)))
+        dot = lambda b: -sum(w * x * p for w, (x, p) in zip(weights, share(b)))
+        fits = [b for b in range(len(left)) if all(x >= p for x, p in zip(left[b], piece))]
+        best = min(fits, key=norm if measure == "norm" else dot, default=len(left))
+        if best == len(left):
+            left.append(list(caps))
+        left[best] = [x - p for x, p in zip(left[best], piece)]
+        bins[n] = best
+    plan = lambda w: {n: start for n, _, _, _, start, _ in packing.plan_bins({n: 1 for n in range(1, 31)}, *caps, measure=measure, weights=w)}
+    assert plan(weights) == bins != plan((1.0, 0.0, 0.0))
+
+
 @pytest.mark.parametrize("measure", ["norm", "dot"])
 @pytest.mark.parametrize("caps", [(50, 50, 2500), (50, 3, 2500), (50, 50, 900), (64, 4, 1200)])
 def test_plan_holds_every_capacity(measure, caps):
