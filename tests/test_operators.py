@@ -8,7 +8,7 @@ from tidemill.operators import partitions as PT
 from tidemill.operators import recommend as R
 from tidemill.operators import shards as H
 from tidemill.operators import texts as T
-from tidemill.operators.phik import phik_from_counts
+from tidemill.operators.phik import phik_from_counts, phik_matrix
 from tidemill.session import fresh_dir
 
 
@@ -48,6 +48,22 @@ def test_nearest_any_blocking(spark, blocks):
             assert votes[i, k] == max(sorted(set(labels)), key=labels.count)
 
 
+def test_phik_counts_values_exactly(spark):
+    """200 values pass and 201 don't, whatever an approximate count says."""
+    for start in range(0, 3000, 500):
+        rows = lambda n: spark.createDataFrame([(f"v{start + i}", i % 2) for i in range(n)], "a string, b int")  # noqa: B023
+        assert phik_matrix(rows(200), []).count() == 4
+        with pytest.raises(ValueError):
+            phik_matrix(rows(201), [])
+
+
+def test_phik_query_has_all_churn_columns(spark, sf):
+    from __spark_entry__ import queries
+
+    got = {r.x for r in queries()["phik_matrix"](spark, sf).select("x").distinct().collect()}
+    assert got == {"segment", "contract", "n_orders", "tenure", "monthly", "total", "churn"}
+
+
 def test_phik_extremes():
     assert phik_from_counts(np.full((3, 4), 100.0)) == 0.0
     assert phik_from_counts(np.diag([500.0, 400.0, 300.0])) > 0.95

@@ -95,7 +95,7 @@ def phik_matrix(df: DataFrame, interval: list[str], bins: int = 10) -> DataFrame
         low, high = span(df, c)
         cells = cells.withColumn(c, bin_number(F.col(c), low, high, bins))
     cells = cells.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    wide = cells.agg(*[F.approx_count_distinct(c).alias(c) for c in df.columns]).first().asDict()
+    wide = cells.agg(*[F.count_distinct(c).alias(c) for c in df.columns]).first().asDict()
     broad = [c for c, k in wide.items() if k > MAX_VALUES]
     if broad:
         raise ValueError(f"columns with more than {MAX_VALUES} values: {broad}")

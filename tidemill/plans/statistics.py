@@ -67,8 +67,8 @@ def corr_with(spark, sf):
 
 @query("phik_matrix")
 def phik(spark, sf):
-    df = I.churn(spark, sf).select("segment", "contract", "n_orders", "monthly", "churn")
-    return phik_matrix(df, interval=["n_orders", "monthly"])
+    df = I.churn(spark, sf).drop("customer_id")
+    return phik_matrix(df, interval=["n_orders", "tenure", "monthly", "total"])
 
 
 BOX = ["o_totalprice", "o_custkey"]
