@@ -25,11 +25,25 @@ def plain_ids(library, text):
 def test_encoder_gives_the_ids_of_the_library(spark, sf, word_bpe, library):
     texts = [r["text"] for r in table(spark, sf, "documents").select("text").collect()]
     texts += [t for _, t in ODD] + ["ABC abc. Abc, ABC.", "a\x1cb \x85c d", "<|ENDOFTEXT|> x<|endoftext|>y", "Å Å. ﬁn, ΣΑΣ. ...,.", "n't 'll. it's,"]
-    encoder = WordEncoder(word_bpe, max_words=500)
+    encoder = WordEncoder(word_bpe, room=100_000)
     assert encoder.by_word
     for _ in range(2):
         got = [np.frombuffer(b, dtype="<u4").tolist() for b in encoder.encode(pa.array(texts, type=pa.string()))]
         assert got == [plain_ids(library, t) for t in texts]
+        assert list(encoder.count(pa.array(texts, type=pa.string()))) == list(map(len, got))
+
+
+def test_encoder_on_made_up_texts(word_bpe, library):
+    """Letters whose lower case is longer, marks that compose with small letters only, special strings in any case."""
+    rng = random.Random(11)
+    parts = ["İ", "BELEDİYESİ", "VALİLİĞİ", "i\u0307", "H", "h", "T\u0308", "t\u0308", "W\u030a", "J\u030c", "\u0307", "\u0331", "\u0301", "e", "É", "ß", "ẞ", "ǅ", "ŉ", "Σ", "ς", "ά"]
+    parts += ["Straße", "the", "The", "don't", "'LL", "'s", "12", "٣", "Ⅻ", "中文", "한글", "कि", "\u0958", "ก็", "😀", "\u200d", "\ufe0f", "ﬁ", "K", "Å", "|", "!", "..", ".,", ",", ".", ".", ",", "-"]
+    parts += ["<|endoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|", "|>", "\x1c", "\x85", "\u00a0", "\u3000", "\u2028", "\x00", "\x0b", "\r\n", "\t"] + [" "] * 25
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 9))) for _ in range(60_000)] + ["BELEDİYESİ, ve TÜRKİYE VALİLİĞİ.", "İ, x", "İ.", "x İ"]
+    encoder = WordEncoder(word_bpe, room=1 << 20)
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in encoder.encode(pa.array(texts))]
+    want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, g, w in zip(texts, got, want) if g != w] == []
 
 
 def test_other_tokenizers_get_whole_texts():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -39,6 +40,14 @@ def arrow_type(spark_type: DataType) -> pa.DataType:
     return to_arrow_type(spark_type)
 
 
+def give_back() -> None:
+    """Give freed memory back to the system: worker processes outlive their tasks and go on with other ones."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc keeps what it has freed
+    if trim:
+        trim(0)
+
+
 def by_batch(columns: dict[str, pa.DataType], rows: Callable[[pa.RecordBatch], dict]) -> Callable:
     """A function for mapInArrow that turns each batch into columns of the given types."""
     schema = pa.schema(list(columns.items()))
@@ -47,7 +56,7 @@ def by_batch(columns: dict[str, pa.DataType], rows: Callable[[pa.RecordBatch], d
         for batch in batches:
             out = rows(batch)
             yield pa.RecordBatch.from_arrays([pa.array(out[c], type=t) for c, t in columns.items()], schema=schema)
-        pa.default_memory_pool().release_unused()  # workers outlive their tasks
+        give_back()
 
     return run
 

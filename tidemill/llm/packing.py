@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.base import arrow_type, by_batch, kind, stored, two
-from tidemill.llm.encode import WordEncoder
+from tidemill.llm.encode import encoder_of
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -29,7 +29,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int = 0, id
     }
 
     def cut(batches):
-        encoder, part, seen = WordEncoder(tokenizer), TaskContext.get().partitionId(), Counter()
+        encoder, part, seen = encoder_of(tokenizer), TaskContext.get().partitionId(), Counter()
 
         def rows(batch: pa.RecordBatch) -> dict:
             out = {c: [] for c in columns}

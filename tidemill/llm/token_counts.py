@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.base import by_batch, stored, text_digest, two
-from tidemill.llm.encode import WordEncoder
+from tidemill.llm.encode import encoder_of
 
 
 def tokenizer_digest(path: str) -> str:
@@ -49,7 +49,7 @@ def token_counts(
     version = tokenizer_digest(tokenizer)
     text = F.coalesce("text", F.lit(""))
     content = text
-    if WordEncoder(tokenizer).by_word:
+    if encoder_of(tokenizer).by_word:
         content = F.trim(F.regexp_replace(text, r"[ \t\n\x0B\f\r]+", " "))
     rows = two(docs, id_col, text_col).select("doc_id", content.alias("content"), F.octet_length(text).cast("long").alias("n_bytes"), text_digest(content).alias("digest"))
     keys = stored(rows.drop("content"), "token-keys")
@@ -61,12 +61,9 @@ def token_counts(
     )
 
     def count(batches):
-        # one encoder for a task: the words of earlier batches are still known, and none are kept after it
-        encoder = WordEncoder(tokenizer)
-        return by_batch({"digest": pa.binary(), "n_tokens": pa.int64()}, lambda b: counted(b, encoder))(batches)
-
-    def counted(batch: pa.RecordBatch, encoder: WordEncoder) -> dict:
-        return {"digest": batch.column("digest"), "n_tokens": [len(ids) // 4 for ids in encoder.encode(batch.column("content"))]}
+        encoder = encoder_of(tokenizer)
+        rows = lambda b: {"digest": b.column("digest"), "n_tokens": list(encoder.count(b.column("content")))}
+        return by_batch({"digest": pa.binary(), "n_tokens": pa.int64()}, rows)(batches)
 
     fresh = texts.mapInArrow(count, "digest binary, n_tokens bigint")
     fresh.write.mode("append").parquet(f"{cache_dir}/tokenizer={version}")
