@@ -70,7 +70,7 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers, in order.  A null text has none."""
-        for part in _slices(pc.fill_null(texts, "")):
+        for part in slices(pc.fill_null(texts, "")):
             if not self.by_word:
                 yield from map(self._ids, part.to_pylist())
                 continue
@@ -87,7 +87,7 @@ class WordEncoder:
 
     def count(self, texts: pa.Array) -> Iterator[int]:
         """How many ids each text has."""
-        for part in _slices(pc.fill_null(texts, "")):
+        for part in slices(pc.fill_null(texts, "")):
             if not self.by_word:
                 yield from (len(self._ids(t)) // 4 for t in part.to_pylist())
                 continue
@@ -162,12 +162,13 @@ class WordEncoder:
             self._keep(w, np.array(e.ids, dtype="<u4").tobytes())
 
 
-def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
+    """The texts in slices of at most so many UTF-8 bytes; a longer text is a slice alone."""
     size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = 0
     while at < len(texts):
         done = size[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(size, done + SLICE_BYTES, side="right")))
+        to = max(at + 1, int(np.searchsorted(size, done + most, side="right")))
         yield texts.slice(at, to - at)
         at = to
 

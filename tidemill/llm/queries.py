@@ -9,11 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm import ann, cotrain, decontaminate, html_text, langid, minhash, packing, quotes, token_counts, toxicity
+from tidemill.llm import align, ann, cotrain, decontaminate, divergence, html_text, langid, minhash, packing, quotes, token_counts, toxicity, url_rules
 from tidemill.llm.base import BATCH_ROWS, small_batches
 from tidemill.session import fresh_dir, table
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SEQUENCE = 2048
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +123,62 @@ def permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_quotation_linking")
 def quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+
+
+@query("op11_cross_tokenizer_alignment")
+def cross_tokenizer_alignment(spark: SparkSession, sf_dir: str, tokenizers: tuple[str, str] | None = None) -> DataFrame:
+    a, b = tokenizers or (public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+    return align.alignment(table(spark, sf_dir, "documents"), a, b)
+
+
+#: hosts that no page is wanted from unless a rule names them
+UNWANTED = ("*casino*", "*poker*", "*jackpot*", "*viagra*", "*porn*", "*-bets.*", "*.bets.*", "*-pills.*", "*.pills.*", "*.ads.*", "*.ads-*", "*.adserver.*")
+RULES = [
+    url_rules.below("net", "/", "block"), url_rules.below("example.net", "/en/", "allow"),
+    url_rules.below("example.com", "/de/", "block"), url_rules.below("org", "/fr/", "allow"),
+    *(url_rules.Rule(g + end, "block") for g in UNWANTED for end in ("", "/**")),
+]
+
+URL_SQL = r"""
+WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
+p AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+f AS (SELECT *, '.' || host AS dotted FROM p),
+r AS (SELECT *, CASE WHEN ends_with(dotted, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+       WHEN ends_with(dotted, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+       WHEN ends_with(dotted, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/' WHEN ends_with(dotted, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM f)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN regexp_matches(dotted, 'casino|poker|jackpot|viagra|porn|[.-]bets\.|[.-]pills\.|\.ads[.-]|\.adserver\.') THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
+
+
+@query("op12_url_filters", URL_SQL)
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), RULES)
+
+
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS MATERIALIZED (SELECT lang, source, r, term, count(*) AS n FROM (SELECT lang, source, r, unnest(w) AS term FROM d) GROUP BY ALL),
+vocab AS MATERIALIZED (SELECT lang, term, sum(n) AS total FROM t GROUP BY ALL HAVING count(*) >= 30),
+v AS (SELECT lang, count(*) AS terms, sum(total) AS total FROM vocab GROUP BY 1),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+c AS MATERIALIZED (SELECT lang, source, term, sum(n) AS n FROM t JOIN vocab USING (lang, term) GROUP BY ALL),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+f AS MATERIALIZED (SELECT g.lang, g.source, vocab.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 5)) // (coalesce(s.total, 0) + 5 * v.terms) AS p,
+  1 + (1000000000 * (vocab.total + 5)) // (v.total + 5 * v.terms) AS q
+  FROM g JOIN vocab ON vocab.lang = g.lang JOIN v ON v.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = vocab.term
+  LEFT JOIN s ON s.lang = g.lang AND s.source = g.source),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM f a JOIN f b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(sums.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source),
+both_parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM f WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM both_parts) WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
