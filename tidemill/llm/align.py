@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,10 +20,16 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemill.llm.base import arrow_type, give_back, kind, stored, two
-from tidemill.llm.encode import slices
+from tidemill.llm.encode import JOINED, WORD_ROOM, gathered, slices
 
 #: UTF-8 bytes of texts whose links share a table of id pairs, and of texts that the tokenizers are given at once
-BLOCK_BYTES, CALL_BYTES = 4 << 20, 512 << 10
+BLOCK_BYTES, CALL_BYTES = 4 << 20, 1 << 20
+#: what each of the two generations of units may take
+ROOM = 80 << 20
+#: white space of any kind, and a space beside some or at an end of a text
+_WHITE = "[\\x09-\\x0d\\x1c-\\x20\\x85\\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]"
+WHITE = re.compile(_WHITE)
+BESIDE_SPACE = rf" {_WHITE}|{_WHITE} |\A | \z"
 
 
 def byte_letters() -> dict[str, int]:
@@ -45,10 +53,14 @@ class ByteLevel:
         self.pieces = [b""] * (max(vocab.values()) + 1)
         for entry, i in vocab.items():
             self.pieces[i] = bytes(letters[c] for c in entry) if all(c in letters for c in entry) else entry.encode()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        first = spec.get("pre_tokenizer") or {}
+        #: the library's own pattern begins a token at each space that stands alone
+        self.by_unit = spec.get("normalizer") is None and first.get("type") == "ByteLevel" and first.get("use_regex") and not first.get("add_prefix_space")
 
-    def ids(self, texts: list[str]) -> Iterator[list[int]]:
-        for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False):
-            yield e.ids
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
 class Pieces:
@@ -60,26 +72,115 @@ class Pieces:
         for i in range(self.model.get_piece_size()):
             p = self.model.id_to_piece(i)
             self.pieces.append(bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode())
+        #: no piece reaches over a space into what is before it, and texts aren't normalised
+        self.by_unit = not any(b" " in p.lstrip(b" ") for p in self.pieces) and self._back(" ﬁ  A\u030a\u00a0①\t ")
 
-    def ids(self, texts: list[str]) -> Iterator[list[int]]:
-        yield from self.model.encode(texts, num_threads=1)
+    def _back(self, text: str) -> bool:
+        return b"".join(self.pieces[i] for i in self.model.encode(text)) == f" {text}".encode()
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return self.model.encode(texts, num_threads=1)
 
 
 class Tokens:
-    """Both tokenizers with the lengths of their tokens and the decimal ids as they stand in a list of groups."""
+    """Both tokenizers with the lengths of their tokens and the decimal ids as they stand in a list of groups.
+
+    Where both begin a token at every space between two other characters, the ids of what stands between such
+    spaces are looked up: each distinct unit is encoded once and kept, in two generations of at most ``room`` bytes.
+    """
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, room: int = ROOM):
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
-        self.size_a, self.size_b = (np.array([len(p) for p in t.pieces], dtype=np.int64) for t in (self.a, self.b))
+        self.sizes = [np.array([len(p) for p in t.pieces], dtype=np.int64) for t in (self.a, self.b)]
         self.width = len(self.b.pieces)
         self.text_a, self.text_b = ([f"{i}{end}" for end in ",;" for i in range(len(t.pieces))] for t in (self.a, self.b))
+        self.by_unit = self.a.by_unit and self.b.by_unit
+        self.known: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.older: dict[str, tuple[bytes, bytes, bool]] = {}
+        self.room, self.held = room, 0
 
-    def both(self, texts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+    def both(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The ids of each text by both; none where one of them doesn't give back the bytes of a space and the text."""
-        for text, a, b in zip(texts, self.a.ids(texts), self.b.ids(texts)):
-            whole = f" {text}".encode()
-            same = text and b"".join(map(self.a.pieces.__getitem__, a)) == whole == b"".join(map(self.b.pieces.__getitem__, b))
-            yield (a, b) if same else ([], [])
+        none = np.zeros(0, dtype=np.int64)
+        whole = texts.to_pylist()
+        if self.by_unit:
+            units, bounds = self._units(texts, whole)
+            coded = units.dictionary_encode()
+            which, known = coded.indices.to_numpy(), self._known(coded.dictionary.to_pylist())
+            right = np.array([k[2] for k in known], dtype=bool)[which]
+            sides = [(ids.astype(np.int64) for ids in gathered([k[i] for k in known], which, bounds)) for i in (0, 1)]
+        else:
+            sides = [[np.array(ids, dtype=np.int64) for ids in t.ids(whole)] for t in (self.a, self.b)]
+            right, bounds = np.zeros(len(whole), dtype=bool), range(len(whole) + 1)
+        for i, (text, a, b) in enumerate(zip(whole, *sides)):
+            sure = right[bounds[i] : bounds[i + 1]].all()
+            yield (a, b) if text and (sure or self._same(text, a, b)) else (none, none)
+
+    def _same(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
+        return b"".join(map(self.a.pieces.__getitem__, a.tolist())) == f" {text}".encode() == b"".join(map(self.b.pieces.__getitem__, b.tolist()))
+
+    def _units(self, texts: pa.Array, whole: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """What stands between single spaces, and where each text's units begin and end.  A space beside other white
+        space is no border, and stays in its unit."""
+        odd = pc.match_substring_regex(texts, BESIDE_SPACE).to_numpy(zero_copy_only=False)
+        parts = pc.split_pattern(texts, " ")
+        if not odd.any():
+            bounds = parts.offsets.to_numpy()
+            return parts.flatten(), bounds - bounds[0]
+        size, pieces, at = pc.list_value_length(parts).to_numpy().copy(), [], 0
+        for i in np.flatnonzero(odd).tolist():
+            units = []
+            for p in whole[i].split(" "):
+                if units and not (p and units[-1] and not WHITE.match(p[0]) and not WHITE.match(units[-1][-1])):
+                    units[-1] = f"{units[-1]} {p}"
+                else:
+                    units.append(p)
+            size[i] = len(units)
+            pieces += [parts.slice(at, i - at).flatten(), pa.array(units, type=pa.string())]
+            at = i + 1
+        return pa.concat_arrays([*pieces, parts.slice(at).flatten()]), np.concatenate([[0], np.cumsum(size)])
+
+    def _known(self, units: list[str]) -> list[tuple[bytes, bytes, bool]]:
+        """The ids of distinct units by both, and whether both give back a space and the unit."""
+        if self.held > self.room:
+            self.older, self.known, self.held = self.known, {}, 0
+        found = list(map(self.known.get, units))
+        missing = [i for i, x in enumerate(found) if x is None]
+        fresh, alone = [], []
+        for i in missing:
+            u = units[i]
+            if u in self.older:
+                self._keep(u, self.older[u])
+            else:
+                (alone if not u or WHITE.match(u[0]) or WHITE.match(u[-1]) else fresh).append(u)
+        for at in range(0, len(fresh), JOINED):
+            self._learn(fresh[at : at + JOINED])
+        for u in alone:
+            self._learn([u])
+        for i in missing:
+            found[i] = self.known[units[i]]
+        return found
+
+    def _keep(self, unit: str, ids: tuple[bytes, bytes, bool]) -> None:
+        self.known[unit] = ids
+        self.held += 2 * WORD_ROOM + len(unit) + len(ids[0]) + len(ids[1])
+
+    def _learn(self, units: list[str]) -> None:
+        """Encode units as one text and take it apart again where they end."""
+        text = " ".join(units)
+        ends, sides = np.cumsum([len(u.encode()) + 1 for u in units]), []
+        a, b = (np.array(t.ids([text])[0], dtype=np.int64) for t in (self.a, self.b))
+        same = self._same(text, a, b)
+        if not same and len(units) > 1:
+            for u in units:
+                self._learn([u])
+            return
+        for ids, size in zip((a, b), self.sizes):
+            stops = np.searchsorted(np.cumsum(size[ids]), ends, side="right").tolist() if len(units) > 1 else [len(ids)]
+            raw = ids.astype("<u4").tobytes()
+            sides.append([raw[4 * at : 4 * to] for at, to in zip([0, *stops], stops)])
+        for u, x, y in zip(units, *sides):
+            self._keep(u, (x, y, same))
 
 
 @lru_cache(maxsize=1)
@@ -99,25 +200,20 @@ def inner_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int], list[
     """
     raw_a, raw_b = ends_a.astype(np.int64).tobytes(), ends_b.astype(np.int64).tobytes()
     a, b = array("q", raw_a), array("q", raw_b)
-    n, i, shift = len(a), 0, 0
+    n, i, shift = len(a), 0, 0  # shift in bytes, as are the places in the raw ends
     inside_a, inside_b, at_a, at_b = [], [], [], []
-
-    def agree(i: int, step: int) -> bool:
-        j = i + shift
-        return raw_a[8 * i : 8 * (i + step)] == raw_b[8 * j : 8 * (j + step)]
-
     while i < n:
-        step = 1
-        while i < n and agree(i, step):
-            i += step
+        step, at = 8, 8 * i
+        while at < 8 * n and raw_a[at : at + step] == raw_b[at + shift : at + shift + step]:
+            at += step
             step *= 2
-        while step > 1 and i < n:
+        while step > 8 and at < 8 * n:
             step //= 2
-            if agree(i, step):
-                i += step
-        if i >= n:
+            if raw_a[at : at + step] == raw_b[at + shift : at + shift + step]:
+                at += step
+        if at >= 8 * n:
             break
-        p, q = i, i + shift
+        p, q = at // 8, (at + shift) // 8
         while a[p] != b[q]:
             at_a.append(p)
             at_b.append(q)
@@ -127,14 +223,13 @@ def inner_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int], list[
             else:
                 inside_b.append(q)
                 q += 1
-        i, shift = p + 1, q - p
+        i, shift = p + 1, 8 * (q - p)
     return inside_a, inside_b, at_a, at_b
 
 
-def align(tokens: Tokens, a: list[int], b: list[int]) -> tuple[int, np.ndarray, str]:
+def align(tokens: Tokens, x: np.ndarray, y: np.ndarray) -> tuple[int, np.ndarray, str]:
     """How many groups there are, the code a * width + b of each link, and the groups as text."""
-    x, y = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
-    inside_a, inside_b, at_a, at_b = inner_ends(np.cumsum(tokens.size_a[x]), np.cumsum(tokens.size_b[y]))
+    inside_a, inside_b, at_a, at_b = inner_ends(*(np.cumsum(size[ids]) for size, ids in zip(tokens.sizes, (x, y))))
     last_a, last_b = np.ones(len(x), dtype=bool), np.ones(len(y), dtype=bool)
     last_a[inside_a], last_b[inside_b] = False, False
     links = np.concatenate([x[last_a] * tokens.width + y[last_b], x[at_a] * tokens.width + y[at_b]])
@@ -162,8 +257,8 @@ def linked(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
             for texts in slices(pc.fill_null(batch.column("text"), ""), BLOCK_BYTES):
                 out = {c: [] for c in columns}
                 for few in slices(texts, CALL_BYTES):
-                    for a, b in tokens.both(few.to_pylist()):
-                        groups, links, text = align(tokens, a, b) if a else (0, np.zeros(0, dtype=np.int64), None)
+                    for a, b in tokens.both(few):
+                        groups, links, text = align(tokens, a, b) if len(a) else (0, np.zeros(0, dtype=np.int64), None)
                         codes, times = np.unique(links, return_counts=True)
                         row = (len(a), len(b), groups, len(links), "" if text is None else hashlib.sha256(text.encode()).hexdigest(), codes, times)
                         for c, v in zip(("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "codes", "times"), row):

@@ -75,15 +75,8 @@ class WordEncoder:
                 yield from map(self._ids, part.to_pylist())
                 continue
             which, bounds, ids = self._split(part)
-            size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-            pool, first = np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(size) - size
-            each = size[which]
-            to = np.cumsum(each)
-            # the place in the pool of every id: where its word begins there, and how far it is into the word
-            flat = pool[np.repeat(first[which] - (to - each), each) + np.arange(to[-1] if len(to) else 0)].tobytes()
-            stops = 4 * np.concatenate([[0], to])[bounds]
-            for at, end in zip(stops[:-1].tolist(), stops[1:].tolist()):
-                yield flat[at:end]
+            for some in gathered(ids, which, bounds):
+                yield some.tobytes()
 
     def count(self, texts: pa.Array) -> Iterator[int]:
         """How many ids each text has."""
@@ -162,6 +155,19 @@ class WordEncoder:
             self._keep(w, np.array(e.ids, dtype="<u4").tobytes())
 
 
+def gathered(ids: list[bytes], which: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
+    """The ids of texts: those of their words, of which the distinct ones have ``ids``."""
+    size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+    pool, first = np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(size) - size
+    each = size[which]
+    to = np.cumsum(each)
+    # the place in the pool of every id: where its word begins there, and how far it is into the word
+    flat = pool[np.repeat(first[which] - (to - each), each) + np.arange(to[-1] if len(to) else 0)]
+    stops = np.concatenate([[0], to])[bounds].tolist()
+    for at, end in zip(stops[:-1], stops[1:]):
+        yield flat[at:end]
+
+
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[pa.Array]:
     """The texts in slices of at most so many UTF-8 bytes; a longer text is a slice alone."""
     size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
