@@ -24,6 +24,8 @@ from tidemill.llm.encode import JOINED, WORD_ROOM, gathered, slices
 
 #: UTF-8 bytes of texts whose links share a table of id pairs, and of texts that the tokenizers are given at once
 BLOCK_BYTES, CALL_BYTES = 4 << 20, 1 << 20
+#: ends that are compared first
+PROBE = 4
 #: what each of the two generations of units may take
 ROOM = 80 << 20
 #: white space of any kind, and a space beside some or at an end of a text
@@ -93,7 +95,8 @@ class Tokens:
         self.a, self.b = ByteLevel(path_a), Pieces(path_b)
         self.sizes = [np.array([len(p) for p in t.pieces], dtype=np.int64) for t in (self.a, self.b)]
         self.width = len(self.b.pieces)
-        self.text_a, self.text_b = ([f"{i}{end}" for end in ",;" for i in range(len(t.pieces))] for t in (self.a, self.b))
+        #: the decimal ids of a with , or | behind them, then those of b with , or ;
+        self.written = np.array([f"{i}{end}" for t, ends in ((self.a, ",|"), (self.b, ",;")) for end in ends for i in range(len(t.pieces))], dtype="S")
         self.by_unit = self.a.by_unit and self.b.by_unit
         self.known: dict[str, tuple[bytes, bytes, bool]] = {}
         self.older: dict[str, tuple[bytes, bytes, bool]] = {}
@@ -191,8 +194,8 @@ def _tokens(path_a: str, path_b: str) -> Tokens:
 def inner_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int], list[int], list[int], list[int]]:
     """Where two rising lists of ends, of which the last are the same, disagree: diagonal run skipping.
 
-    While the ends at i and i + shift agree, tokens stand one to one; how far that goes is probed by comparing 1, 2, 4, ...
-    ends at once and halving at the first difference.  Where they differ, the token that ends first is stepped over
+    While the ends at i and i + shift agree, tokens stand one to one; how far that goes is probed by comparing ``PROBE``, then
+    twice as many ends at once and so on, and halving at the first difference.  Where they differ, the token that ends first is stepped over
     until both end together; that is one irregular group, and the shift becomes what is then between the indices.
 
     Gives the tokens of a and of b that end inside a group, and for each of these steps the tokens (i, j) that stood there:
@@ -203,7 +206,7 @@ def inner_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int], list[
     n, i, shift = len(a), 0, 0  # shift in bytes, as are the places in the raw ends
     inside_a, inside_b, at_a, at_b = [], [], [], []
     while i < n:
-        step, at = 8, 8 * i
+        step, at = 8 * PROBE, 8 * i
         while at < 8 * n and raw_a[at : at + step] == raw_b[at + shift : at + shift + step]:
             at += step
             step *= 2
@@ -227,16 +230,22 @@ def inner_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int], list[
     return inside_a, inside_b, at_a, at_b
 
 
-def align(tokens: Tokens, x: np.ndarray, y: np.ndarray) -> tuple[int, np.ndarray, str]:
+def align(tokens: Tokens, x: np.ndarray, y: np.ndarray) -> tuple[int, np.ndarray, bytes]:
     """How many groups there are, the code a * width + b of each link, and the groups as text."""
     inside_a, inside_b, at_a, at_b = inner_ends(*(np.cumsum(size[ids]) for size, ids in zip(tokens.sizes, (x, y))))
     last_a, last_b = np.ones(len(x), dtype=bool), np.ones(len(y), dtype=bool)
     last_a[inside_a], last_b[inside_b] = False, False
     links = np.concatenate([x[last_a] * tokens.width + y[last_b], x[at_a] * tokens.width + y[at_b]])
-    groups = []
-    for ids, last, text in ((x, last_a, tokens.text_a), (y, last_b, tokens.text_b)):
-        groups.append("".join(map(text.__getitem__, (ids + last * (len(text) // 2)).tolist())).split(";")[:-1])
-    return int(last_a.sum()), links, ";".join([f"{p}|{q}" for p, q in zip(*groups)])
+    # a token's place in the text: behind the tokens of its own side before it, and those of the other in groups before
+    # its own, for b in its own too
+    group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+    until_a, until_b = np.flatnonzero(last_a) + 1, np.concatenate([[0], np.flatnonzero(last_b) + 1])
+    order = np.empty(len(x) + len(y), dtype=np.int64)
+    n_a, n_b = len(tokens.a.pieces), len(tokens.b.pieces)
+    order[np.arange(len(x)) + until_b[group_a]] = x + last_a * n_a
+    order[np.arange(len(y)) + until_a[group_b]] = y + last_b * n_b + 2 * n_a
+    text = tokens.written[order].tobytes().translate(None, b"\0")[:-1]
+    return len(until_a), links, text
 
 
 def linked(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
@@ -260,7 +269,7 @@ def linked(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                     for a, b in tokens.both(few):
                         groups, links, text = align(tokens, a, b) if len(a) else (0, np.zeros(0, dtype=np.int64), None)
                         codes, times = np.unique(links, return_counts=True)
-                        row = (len(a), len(b), groups, len(links), "" if text is None else hashlib.sha256(text.encode()).hexdigest(), codes, times)
+                        row = (len(a), len(b), groups, len(links), "" if text is None else hashlib.sha256(text).hexdigest(), codes, times)
                         for c, v in zip(("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "codes", "times"), row):
                             out[c].append(v)
                 ids = batch.column("doc_id").slice(at, len(texts))
