@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections import deque
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -11,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.rank import rank_in_group
+from tidemill.operators.steps import Breaker, SlidingWindow, TokenBucket
 
 
 def retry_delay(policy: str, attempt: Column, base_ms: int, cap_ms: int, jitter: float = 0.0, seed: Column | None = None) -> Column:
@@ -99,21 +99,7 @@ def in_order(df: DataFrame, keys: list[str], order: list[str], machine: Callable
 
 def throttle_sliding(df: DataFrame, key: str, ts: str, id_col: str, window_ms: int, most: int) -> DataFrame:
     """Add ``allowed``: fewer than ``most`` accepted rows in the window before; refused rows do not count."""
-
-    def machine():
-        accepted: deque = deque()
-
-        def step(us: int) -> bool:
-            while accepted and accepted[0] < us - window_ms * 1000:
-                accepted.popleft()
-            if len(accepted) < most:
-                accepted.append(us)
-                return True
-            return False
-
-        return step
-
-    return _throttle(df, key, ts, id_col, window_ms, machine, equal_ends=False)
+    return _throttle(df, key, ts, id_col, window_ms, lambda: SlidingWindow(window_ms, most), equal_ends=False)
 
 
 def throttle_bucket(df: DataFrame, key: str, ts: str, id_col: str, window_ms: int, most: int, faithful: bool = True) -> DataFrame:
@@ -122,30 +108,7 @@ def throttle_bucket(df: DataFrame, key: str, ts: str, id_col: str, window_ms: in
     ``faithful`` (the default rule) leaves the refill clock where it is on a partial
     refill; otherwise the clock moves and fractions stay with it.
     """
-
-    def machine():
-        state = {"tokens": most, "clock": None}
-
-        def step(us: int) -> bool:
-            now = us // 1000
-            if state["clock"] is None:
-                state["clock"] = now
-            passed = now - state["clock"]
-            if passed >= window_ms:
-                state["tokens"], state["clock"] = most, now
-            else:
-                add = passed * most // window_ms
-                state["tokens"] = min(most, state["tokens"] + add)
-                if not faithful:
-                    state["clock"] += add * window_ms // most
-            if state["tokens"] > 0:
-                state["tokens"] -= 1
-                return True
-            return False
-
-        return step
-
-    return _throttle(df, key, ts, id_col, window_ms, machine, equal_ends=True)
+    return _throttle(df, key, ts, id_col, window_ms, lambda: TokenBucket(window_ms, most, faithful), equal_ends=True)
 
 
 def _throttle(df, key, ts, id_col, window_ms, machine, equal_ends):
@@ -214,27 +177,8 @@ def circuit_breaker(df: DataFrame, key: str, ts: str, id_col: str, least: int =
     sequence; keys run side by side.
     """
 
-    def machine():
-        s = {"bad": 0, "good": 0, "last": 0, "open": False}
-
-        def step(us: int, ok: bool) -> str:
-            now = us // 1000
-            if s["open"]:
-                if now - s["last"] < open_ms:
-                    return "blocked"
-                s["open"] = False
-            if ok:
-                s["good"] += 1
-                return "success"
-            s["bad"] += 1
-            s["last"] = now
-            s["open"] = s["bad"] >= least and s["bad"] * 100 // (s["bad"] + s["good"]) > percent
-            return "failure"
-
-        return step
-
     timed = df.withColumn("__us", F.unix_micros(ts))
-    return in_order(timed, [key], ["__us", id_col], machine, ["__us", "success"], "outcome string").drop("__us")
+    return in_order(timed, [key], ["__us", id_col], lambda: Breaker(least, percent, open_ms), ["__us", "success"], "outcome string").drop("__us")
 
 
 def compartment_health(df: DataFrame, key: str, bad: float = 0.1, slow: float = 0.05) -> DataFrame:

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from tidemill.operators import protect as P
 from tidemill.operators import views as V
 from tidemill.plans import inputs as I
-from tidemill.plans.registry import query
+from tidemill.plans.registry import SQL, query
 from tidemill.plans.streams import shop_stream
-from tidemill.session import fresh_dir
+from tidemill.session import fresh_dir, keyed_state
 from tidemill.sources import streams as S
+from tidemill.streaming import ordered as O
 
 HOUR_MS = 3_600_000
 # the table has a visit every few hours per user, so the windows are hours and the limits small
@@ -58,6 +59,46 @@ def bucket(spark, sf):
     return P.throttle_bucket(calls(spark, sf), "user_id", "ts", "event_id", 24 * HOUR_MS, 3).select("event_id", "allowed")
 
 
+# ---- the same throttles on a stream whose events come up to a day late, in three deliveries with a restart between them
+
+LATE_S = 86_400
+DECIDED = f"epoch_us(ts) <= (SELECT max(epoch_us(ts)) // 1000 - {LATE_S * 1000} FROM events) * 1000"
+
+
+def delivered(df, spark, run, label):
+    """Rows (with a column ts) arrive by a time up to a day after their own, in three deliveries, each a run of the same query:
+    ``run(stream)`` gives its frame."""
+    folder, out, log = (fresh_dir(spark, f"{label}-{x}") for x in ("in", "out", "log"))
+    first, last = df.agg(F.min(F.unix_seconds("ts")), F.max(F.unix_seconds("ts"))).first()
+    arrival = F.unix_seconds("ts") + F.pmod(F.col("event_id") * 7919, F.lit(LATE_S))
+    third = F.floor((arrival - F.lit(first or 0)) * 3 / F.lit(max(1, (last or 0) - (first or 0) + 1)))
+    schema = None
+    for part in range(3):
+        df.where(F.least(third, F.lit(2)) == part).write.mode("append").parquet(folder)
+        frame = run(S.file_stream(spark, folder, df.schema, max_files=1_000_000))
+        schema = frame.schema
+        with keyed_state(spark):
+            S.finish(S.write_parquet(frame, out, log))
+    return spark.read.schema(schema).parquet(out)
+
+
+def decided(name):
+    """The rows of the table form that the watermark has passed."""
+    return f"SELECT t.* FROM ({SQL[name]}) t JOIN events USING (event_id) WHERE {DECIDED}"
+
+
+@query("throttle_sliding_window_live", sql=decided("throttle_sliding_window"))
+def sliding_live(spark, sf):
+    run = lambda s: O.throttle_sliding(s, "user_id", "ts", "event_id", 12 * HOUR_MS, 2, f"{LATE_S} seconds")
+    return delivered(calls(spark, sf), spark, run, "sliding").select("event_id", "allowed")
+
+
+@query("throttle_token_bucket_live", sql=decided("throttle_token_bucket"))
+def bucket_live(spark, sf):
+    run = lambda s: O.throttle_bucket(s, "user_id", "ts", "event_id", 24 * HOUR_MS, 3, f"{LATE_S} seconds")
+    return delivered(calls(spark, sf), spark, run, "bucket").select("event_id", "allowed")
+
+
 # ---- shedding: a buffer of 50 per six hours, high mark at 80 %
 SHED = """r AS (SELECT event_id, ts, epoch_us(ts) // 21600000000 AS slot,
  row_number() OVER (PARTITION BY epoch_us(ts) // 21600000000 ORDER BY ts, event_id) AS rn FROM events)"""
@@ -134,6 +175,13 @@ def breaker(spark, sf):
     return P.circuit_breaker(log, "compartment", "ts", "event_id", open_ms=OPEN_MS).select("event_id", "outcome")
 
 
+@query("circuit_breaker_live", sql=decided("circuit_breaker"))
+def breaker_live(spark, sf):
+    log = attempts(spark, sf).filter("attempt = 0")
+    run = lambda s: O.circuit_breaker(s, "compartment", "ts", "event_id", f"{LATE_S} seconds", open_ms=OPEN_MS)
+    return delivered(log, spark, run, "breaker").select("event_id", "outcome")
+
+
 @query("compartment_health", sql=f"""WITH {ATTEMPTS}, g AS (SELECT compartment, count(*) AS n, avg(CASE WHEN success THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END) AS f,
  avg(CASE WHEN timed_out THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS t FROM att GROUP BY 1)
 SELECT compartment, n, round(f, 9) AS failure_rate, round(t, 9) AS timeout_rate, (f < 0.4 AND t < 0.05) AS healthy FROM g""")

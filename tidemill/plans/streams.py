@@ -1,12 +1,14 @@
 """Streaming queries: each runs over what is available now and gives its output table back."""
 
+import functools
+
 from pyspark.sql import functions as F
 
 from tidemill.operators import clean
 from tidemill.operators.protect import group_by_size
 from tidemill.plans import inputs as I
 from tidemill.plans.registry import query
-from tidemill.session import fresh_dir, table
+from tidemill.session import fresh_dir, keyed_state, table
 from tidemill.sources import payloads, streams as S
 from tidemill.streaming import monitor as M
 from tidemill.streaming import state as ST
@@ -112,7 +114,8 @@ SELECT user_id, session_start, round(epoch_us(session_end - INTERVAL '30 minutes
  events AS total_events, total_value, 'timeout' AS session_end_reason
 FROM r WHERE newest > 1 OR session_end <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes'""")
 def stateful(spark, sf):
-    out = S.appended(ST.sessions_on_timeout(shop_stream(spark, sf)), "stateful")
+    with keyed_state(spark):
+        out = S.appended(ST.sessions_on_timeout(shop_stream(spark, sf)), "stateful")
     return out.withColumn("total_value", F.round("total_value", 2)).withColumn("session_duration", F.round("session_duration", 3))
 
 
@@ -190,13 +193,31 @@ def restart(spark, sf):
     return spark.read.parquet(out).groupBy("event_id").agg(F.count(F.lit(1)).alias("times"))
 
 
-@query("stream_triggers_modes", sql=" UNION ALL ".join(
-    f"SELECT '{m}' AS mode, event_type, count(*) AS n FROM events GROUP BY 2" for m in ("complete", "update")))
+# days are closed when the watermark, ten minutes behind the newest event, has passed their end
+CLOSED_DAYS = "SELECT time_bucket(INTERVAL '1 day', ts) AS d, event_type, count(*) AS n FROM events GROUP BY 1, 2"
+ALL_EVENTS = "SELECT event_type, count(*) AS n FROM events GROUP BY 1"
+
+
+@query("stream_triggers_modes", sql=f"""SELECT 'complete' AS mode, 'available now' AS trigger, * FROM ({ALL_EVENTS})
+UNION ALL SELECT 'update', 'available now', * FROM ({ALL_EVENTS}) UNION ALL SELECT 'update', 'processing time', * FROM ({ALL_EVENTS})
+UNION ALL SELECT 'append', trigger, event_type, CAST(sum(n) AS BIGINT) FROM ({CLOSED_DAYS}), (SELECT unnest(['available now', 'processing time']) AS trigger)
+ WHERE d + INTERVAL '1 day' <= (SELECT max(ts) FROM events) - INTERVAL '10 minutes' GROUP BY ALL""")
 def modes(spark, sf):
-    agg = lambda: shop_stream(spark, sf).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
-    a, b = S.completed(agg(), "complete"), S.updated(agg(), "update", ["event_type"])
-    tag = lambda d, m: d.select(F.lit(m).alias("mode"), "event_type", "n")
-    return tag(a, "complete").unionByName(tag(b, "update"))
+    stream = lambda: shop_stream(spark, sf)
+    total = lambda: stream().groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    day = F.window("event_time", "1 day").alias("w")
+    days = lambda: stream().withWatermark("event_time", "10 minutes").groupBy(day, "event_type").agg(F.count(F.lit(1)).alias("n"))
+    soon = {"processingTime": "100 milliseconds"}
+    sums = lambda df: df.groupBy("event_type").agg(F.sum("n").alias("n"))
+    parts = [
+        ("complete", "available now", S.completed(total(), "complete")),
+        ("update", "available now", S.updated(total(), "update", ["event_type"])),
+        ("update", "processing time", S.updated(total(), "update-timed", ["event_type"], trigger=soon)),
+        ("append", "available now", sums(S.appended(days(), "append"))),
+        ("append", "processing time", sums(S.appended(days(), "append-timed", trigger=soon))),
+    ]
+    rows = [df.select(F.lit(m).alias("mode"), F.lit(t).alias("trigger"), "event_type", "n") for m, t, df in parts]
+    return functools.reduce(lambda a, b: a.unionByName(b), rows)
 
 
 @query("stream_progress_metrics", sql="SELECT 'progress' AS name, count(*) AS n_rows, false AS long_batch FROM events")

@@ -7,6 +7,8 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,6 +81,22 @@ def remove_dirs(spark: SparkSession) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Queries started inside keep their keyed state in RocksDB, as stateful processors need it.  A query copies the settings
+    when it starts, so the session has its own state store again afterwards."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession

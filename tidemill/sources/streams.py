@@ -110,28 +110,36 @@ def latest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("r")).select("r.*")
 
 
-def finish(query: StreamingQuery) -> None:
-    query.awaitTermination()
-
-
-def appended(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
+def finish(query: StreamingQuery, trigger: dict | None = None) -> None:
+    """Wait for the end of what is available now.  A query with a trigger of its own doesn't end; it is stopped once
+    its source has nothing more."""
+    if trigger is None or trigger == AVAILABLE:
+        query.awaitTermination()
+        return
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def appended(df: DataFrame, label: str, by: list[str] | None = None, trigger: dict | None = None) -> DataFrame:
     """Run a stream over what is available now; the appended rows come back as a table."""
     spark = df.sparkSession
     out = fresh_dir(spark, label)
     schema = df.schema
-    finish(write_parquet(df, out, fresh_dir(spark, f"{label}-log"), by))
+    finish(write_parquet(df, out, fresh_dir(spark, f"{label}-log"), by, trigger), trigger)
     return spark.read.schema(schema).parquet(out)
 
 
-def updated(df: DataFrame, label: str, keys: list[str]) -> DataFrame:
+def updated(df: DataFrame, label: str, keys: list[str], trigger: dict | None = None) -> DataFrame:
     spark = df.sparkSession
     out = fresh_dir(spark, label)
-    finish(write_versions(df, out, fresh_dir(spark, f"{label}-log"), "update"))
+    finish(write_versions(df, out, fresh_dir(spark, f"{label}-log"), "update", trigger), trigger)
     return latest_rows(spark, out, keys)
 
 
-def completed(df: DataFrame, label: str) -> DataFrame:
+def completed(df: DataFrame, label: str, trigger: dict | None = None) -> DataFrame:
     spark = df.sparkSession
     out = fresh_dir(spark, label)
-    finish(write_versions(df, out, fresh_dir(spark, f"{label}-log"), "complete"))
+    finish(write_versions(df, out, fresh_dir(spark, f"{label}-log"), "complete", trigger), trigger)
     return latest_version(spark, out)

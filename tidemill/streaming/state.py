@@ -5,12 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemill.session import ROCKSDB
-
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 SESSION_STATE = "first_us bigint, last_us bigint, events bigint, value double"
 SESSION_OUT = (
     "user_id string, session_start timestamp, session_duration double, total_events bigint, "
@@ -18,11 +15,6 @@ SESSION_OUT = (
 )
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keyed processors keep their state in RocksDB."""
-    spark.conf.set(PROVIDER, ROCKSDB)
-
-
 class SessionProcessor(StatefulProcessor):
     """One open session per user: first and last time, events, value.
 
@@ -78,8 +70,7 @@ class SessionProcessor(StatefulProcessor):
 
 
 def sessions_on_timeout(df: DataFrame, gap_minutes: int = 30, late: str = "10 minutes") -> DataFrame:
-    """Sessions of a stream (user_id, event_time, amount), sent out when they have ended."""
-    use_rocksdb(df.sparkSession)
+    """Sessions of a stream (user_id, event_time, amount), sent out when they have ended.  Run it with ``session.keyed_state``."""
     keyed = df.select("user_id", "event_time", "amount").withWatermark("event_time", late).groupBy("user_id")
     return keyed.transformWithStateInPandas(
         statefulProcessor=SessionProcessor(gap_minutes * 60_000),

@@ -37,18 +37,21 @@ def tumbling(df: DataFrame, length: str = "5 minutes", late: str = "10 minutes",
 
 
 def sliding(df: DataFrame, length: str = "10 minutes", slide: str = "2 minutes", late: str = "15 minutes") -> DataFrame:
-    """Per user and overlapping window: events, their types in time order, first and last time."""
+    """Per user and overlapping window: events, their types in time order, first and last time.
+
+    Windows share panes: events are summed once per user and pane of the slide's length, and only panes are copied
+    to the windows that hold them, so an event is shuffled and kept once.  The length is a multiple of the slide.
+    """
     steps = F.array_sort(F.collect_list(F.struct("event_time", "event_type")))
-    out = (
+    panes = (
         df.withWatermark("event_time", late)
-        .groupBy(F.window("event_time", length, slide).alias("w"), "user_id")
-        .agg(
-            F.count(F.lit(1)).alias("user_events"),
-            steps.alias("steps"),
-            F.min("event_time").alias("first_event"),
-            F.max("event_time").alias("last_event"),
-        )
+        .groupBy(F.window("event_time", slide).alias("p"), "user_id")
+        .agg(F.count(F.lit(1)).alias("n"), steps.alias("steps"), F.min("event_time").alias("a"), F.max("event_time").alias("z"))
     )
+    out = panes.groupBy(F.window(F.window_time("p"), length, slide).alias("w"), "user_id").agg(
+        F.sum("n").alias("user_events"), F.array_sort(F.flatten(F.collect_list("steps"))).alias("steps"),
+        F.min("a").alias("first_event"), F.max("z").alias("last_event"),
+    )
     return out.select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "user_id", "user_events",
         F.col("steps.event_type").alias("event_sequence"), "first_event", "last_event",
