@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.operators.buckets import token_bucket
 from tidemill.operators.rank import rank_in_group
 from tidemill.operators.steps import Breaker, SlidingWindow, TokenBucket
 
@@ -106,9 +107,12 @@ def throttle_bucket(df: DataFrame, key: str, ts: str, id_col: str, window_ms: in
     """Add ``allowed``: a token bucket, refilled fully after a whole window, else in part.
 
     ``faithful`` (the default rule) leaves the refill clock where it is on a partial
-    refill; otherwise the clock moves and fractions stay with it.
+    refill, and no key is a sequence; otherwise the clock moves and fractions stay with it, and rows between quiet
+    times are one sequence.
     """
-    return _throttle(df, key, ts, id_col, window_ms, lambda: TokenBucket(window_ms, most, faithful), equal_ends=True)
+    if faithful:
+        return token_bucket(df, key, ts, id_col, window_ms, most)
+    return _throttle(df, key, ts, id_col, window_ms, lambda: TokenBucket(window_ms, most, False), equal_ends=True)
 
 
 def _throttle(df, key, ts, id_col, window_ms, machine, equal_ends):
