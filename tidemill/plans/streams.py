@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import clean
 from tidemill.operators.protect import group_by_size
+from tidemill.operators.rank import rank_in_group
 from tidemill.plans import inputs as I
 from tidemill.plans.registry import query
 from tidemill.session import fresh_dir, keyed_state, table
-from tidemill.sources import payloads, streams as S
+from tidemill.sources import message_log, payloads, streams as S
 from tidemill.streaming import monitor as M
 from tidemill.streaming import state as ST
 from tidemill.streaming import windows as W
@@ -279,7 +280,7 @@ MESSAGES = f"""SELECT event_id AS offset_no, user_id, event_type, date_trunc('mi
  product_id, CAST(hour(event_time) AS INTEGER) AS hour, CAST(dayofweek(event_time) + 1 AS INTEGER) AS day_of_week FROM shop"""
 
 
-@query("src_kafka", "src_kafka_bounded", sql=f"WITH {I.SHOP} {MESSAGES}")
+@query("src_kafka", sql=f"WITH {I.SHOP} {MESSAGES}")
 def messages(spark, sf):
     # the connector is not on the class path here: the same envelope comes from files
     folder = fresh_dir(spark, "log-in")
@@ -292,6 +293,27 @@ def messages(spark, sf):
     )
 
 
+MESSAGES_PER_TRIGGER = 4000
+
+
+@query("src_kafka_bounded", sql=f"""WITH {I.SHOP} SELECT m.* EXCLUDE (offset_no), l.offset_no, (SELECT CAST(ceil(count(*) / {MESSAGES_PER_TRIGGER}.0) AS BIGINT) FROM events) AS micro_batches
+FROM ({MESSAGES}) m JOIN (SELECT event_id, row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS offset_no FROM events) l ON l.event_id = m.offset_no""")
+def bounded(spark, sf):
+    # offsets count up in each partition, as in a log
+    folder, progress, out, checkpoint = (fresh_dir(spark, x) for x in ("log", "log-progress", "bounded", "bounded-log"))
+    log = rank_in_group(I.envelopes(I.events(spark, sf)), ["partition"], ["offset"], "rank")
+    message_log.write_log(log.withColumn("offset", F.col("rank") - 1), folder)
+    parsed = payloads.message_events(message_log.log_stream(spark, folder, progress, MESSAGES_PER_TRIGGER))
+    soon = {"processingTime": "0 seconds"}
+    S.finish(S.write_versions(parsed, out, checkpoint, "append", trigger=soon), soon)
+    rows = spark.read.parquet(out)
+    batches = rows.select("batch").distinct().count()
+    return rows.select(
+        F.col("offset").alias("offset_no"), "user_id", "event_type", "event_time", "amount", "product_id", "hour", "day_of_week",
+        F.lit(batches).cast("long").alias("micro_batches"),
+    )
+
+
 @query("parse_kafka_events", sql=f"WITH {I.SHOP} SELECT *, 0.0::DOUBLE AS delay_seconds FROM ({MESSAGES})")
 def parsed(spark, sf):
     out = payloads.message_events(I.envelopes(I.events(spark, sf)))
