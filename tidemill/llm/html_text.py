@@ -23,11 +23,12 @@ _ATTR = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _STOP = re.compile(r"[.!?…。]['\"”’)\]]*(?:\s|$)")
 #: elements whose text is no text of the page
-RAW = frozenset("script style noscript template title textarea svg math iframe object canvas head select datalist".split())
+RAW = frozenset("script style noscript template title textarea svg annotation annotation-xml iframe object canvas head select datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label map mark q ruby rp rt s samp small span strike strong sub "
-    "sup time tt u var wbr br button".split()
+    "sup time tt u var wbr br button math semantics mrow mi mo mn ms mtext mspace msup msub msubsup mfrac msqrt mroot mover munder munderover "
+    "mmultiscripts mpadded mphantom mstyle menclose mtable mtr mtd".split()
 )
 #: an element of the key is ended by the start of one of these, up to an element of the scope
 ENDED = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"})} | {
@@ -51,6 +52,13 @@ BAD = frozenset(
 )
 #: so are longer names that begin like this
 BAD_STEMS = ("comment", "advert", "sponsor", "cookie", "newsletter", "breadcrumb", "footer", "sidebar", "disqus", "navbar", "subscri", "recommend")
+#: words for a part of a page, behind what the part is for
+PARTS = frozenset(
+    "area bar bars block blocks body bottom box boxes btn button buttons card cards cell center col column columns container content count cta desc "
+    "details div element entry field fields frame grid group head heading icon icons image img inner input item items label layer layout left line "
+    "link links list main menu meta module name node outer overlay page pane panel part placeholder post primary region right row rows secondary "
+    "section sections slot slots space strip tab tabs text title toggle top unit units view wrap wrapper zone the and our by us you more site".split()
+)
 GOOD = frozenset("article content post entry story body text main prose blog".split())
 #: an article may be called anything but these
 NEVER = frozenset("comment comments reply replies ad ads advert advertisement sponsored promo".split())
@@ -59,6 +67,15 @@ BAD_NAME, GOOD_NAME = -10.0, 2.0
 NEXT_TO, SAME_PARENT = 1.5, 0.8
 
 
+def _is_bad(name: list[str]) -> bool:
+    """Whether a class or id names boilerplate: its last word does, or an earlier one does and only words for parts of
+    a page follow.  So ``site-footer`` and ``footer-links`` do, ``legal-guide`` and ``alert-free-travel`` don't."""
+    for i, w in enumerate(name):
+        if (w in BAD or w.startswith(BAD_STEMS)) and all(x in PARTS or x in BAD or x.isdigit() or len(x) == 1 for x in name[i + 1 :]):
+            return True
+    return False
+
+
 @dataclass
 class Block:
     text: str
@@ -97,7 +114,7 @@ class Page:
                 continue
             attrs = m["attrs"] or ""
             if tag in RAW:
-                if tag not in INLINE:
+                if tag == "head":  # the others may stand inside a block
                     self._flush()
                 if tag == "head" or attrs.endswith("/"):
                     if tag == "head":
@@ -183,10 +200,14 @@ class Page:
         if "=" not in attrs and "hidden" not in attrs or tag in ("html", "body"):
             return out
         names: set[str] = set()
+        bad = False
         for key, *values in _ATTR.findall(attrs):
             key, value = key.lower(), "".join(values)
             if key in ("class", "id", "itemprop"):
-                names.update(x.lower() for x in _TOKEN.findall(value))
+                for name in value.split():
+                    words = [x.lower() for x in _TOKEN.findall(name)]
+                    names.update(words)
+                    bad = bad or _is_bad(words)
             elif key == "role":
                 out += ROLES.get(value.lower(), 0.0)
             elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
@@ -195,7 +216,7 @@ class Page:
                 out -= 12.0
         if tag in ("article", "main"):
             return out + (BAD_NAME if names & NEVER else 0.0)
-        if (names & BAD or any(x.startswith(BAD_STEMS) for x in names)) and not names & {"with", "has", "no"}:
+        if bad and not names & {"with", "has", "no"}:
             if not (inside and names & {"header"} and not names & (BAD - {"header"})):
                 out += BAD_NAME
         elif names & GOOD:
