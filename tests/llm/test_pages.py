@@ -138,14 +138,14 @@ LONG = "A long text of many words that is an article for sure, as it goes on."
 
 def test_scripts_icons_and_formulas_stay_inside_their_block():
     for inside in ("<script>if (a < b) {}</script>", "<svg><text>icon</text></svg>", "<noscript><p>x</p></noscript>", "<iframe src='x'>y</iframe>", "<style>p {}</style>"):
-        assert html_text.main_text(f"<article><p>{LONG}{inside} And more.</p><p>{LONG}</p></article>") == f"{LONG} And more.\n{LONG}"
+        assert main_text(f"<article><p>{LONG}{inside} And more.</p><p>{LONG}</p></article>") == f"{LONG} And more.\n{LONG}"
     formula = "<math><mrow><mi>x</mi><mo>+</mo><msup><mn>1</mn><mn>2</mn></msup></mrow><annotation>x+1^2</annotation></math>"
-    assert html_text.main_text(f"<article><p>We see {formula} here. {LONG}</p></article>") == f"We see x+12 here. {LONG}"
+    assert main_text(f"<article><p>We see {formula} here. {LONG}</p></article>") == f"We see x+12 here. {LONG}"
 
 
 def test_odd_names_keep_their_articles():
     for name in ("legal-guide", "tags-explained", "alert-free-travel", "notice-of-intent-story", "popularScience"):
-        assert html_text.main_text(f'<div class="{name}"><article><h1>T</h1><p>{LONG}</p></article></div>') == f"T\n{LONG}", name
-        assert html_text.main_text(f'<article><div class="{name}"><p>{LONG}</p></div></article>') == LONG, name
+        assert main_text(f'<div class="{name}"><article><h1>T</h1><p>{LONG}</p></article></div>') == f"T\n{LONG}", name
+        assert main_text(f'<article><div class="{name}"><p>{LONG}</p></div></article>') == LONG, name
     for name in ("site-footer", "footer-links", "adSlot3", "cookie_notice", "user-comments-list", "newsletter-box", "related"):
-        assert html_text.main_text(f'<body><p>{LONG}</p><div class="{name}"><p>Some words.</p></div></body>') == LONG, name
+        assert main_text(f'<body><p>{LONG}</p><div class="{name}"><p>Some words.</p></div></body>') == LONG, name
