@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import text as X
 from tidemill.operators import dedup as D
 from tidemill.operators import pairs as P
+from tidemill.operators.lsh import lsh_groups
 from tidemill.plans.joins import replies
 from tidemill.plans.registry import query
 from tidemill.plans.scalars import mod_sql, sound_sql
@@ -337,6 +338,23 @@ def signatures(spark, sf):
     return out.select("conv_id", "turn", F.array_join("signature", " ").alias("signature"))
 
 
+LSH_SQL = f"""WITH RECURSIVE d AS (SELECT doc_id, list_distinct({words_sql("lower(coalesce(text, ''))")}) AS t FROM documents),
+s AS MATERIALIZED (SELECT md5(array_to_string(list_sort(t), ' ')) AS g, min(doc_id) AS node, len(t) AS n FROM d WHERE len(t) > 0 GROUP BY ALL),
+w AS MATERIALIZED (SELECT s.node, unnest(d.t) AS word FROM s JOIN d ON d.doc_id = s.node),
+rare AS (SELECT word FROM w GROUP BY 1 HAVING count(*) > 1),
+c AS (SELECT p.node AS a, q.node AS b, count(*) AS common FROM w p JOIN rare USING (word) JOIN w q USING (word) WHERE p.node <> q.node GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM c JOIN s x ON x.node = a JOIN s y ON y.node = b WHERE common >= 0.8 * (x.n + y.n - common)),
+reach AS (SELECT node AS a, node AS b FROM s UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+named AS (SELECT a AS node, min(b) AS group_id FROM reach GROUP BY 1)
+SELECT doc_id, CAST(len(t) AS BIGINT) AS n_tokens, coalesce(group_id, doc_id) AS group_id
+FROM d LEFT JOIN s ON len(d.t) > 0 AND s.g = md5(array_to_string(list_sort(d.t), ' ')) LEFT JOIN named USING (node)"""
+
+
+@query("minhash_lsh_pairs", sql=LSH_SQL)
+def lsh(spark, sf):
+    return lsh_groups(docs(spark, sf), "doc_id", "text")
+
+
 @query("minhash_similarity", sql=f"""WITH s AS (SELECT conv_id, turn, {signature_sql('text')} AS g FROM conversations)
 SELECT a.conv_id, a.turn, round(len(list_filter(list_zip(a.g, b.g), lambda p: p[1] = p[2])) / 100.0::DOUBLE, 9) AS similarity
 FROM s a JOIN s b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1""")

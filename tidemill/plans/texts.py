@@ -90,8 +90,11 @@ def lemma(spark, sf):
     return T.lemma_counts(f, lemmas(f))
 
 
-@query("text_freq_delta", sql=f"""WITH {TOKENS}, {LEMMA}, {AFTER}
-SELECT word, coalesce(f.n, 0) AS before, coalesce(a.n, 0) AS after, coalesce(a.n, 0) - coalesce(f.n, 0) AS delta FROM freq f FULL JOIN after a USING (word)""")
+@query("text_freq_delta", sql=f"""WITH w AS (SELECT unnest(string_split({CLEAN}, ' ')) AS word FROM documents),
+ freq AS MATERIALIZED (SELECT word, count(*) AS n FROM w WHERE word <> '' AND NOT regexp_full_match(word, '[0-9]+') AND word NOT IN ({STOP_SQL}) GROUP BY 1),
+ after AS (SELECT CASE WHEN word LIKE '%s' AND length(word) > 3 THEN substr(word, 1, length(word) - 1) ELSE word END AS word, sum(n) AS n FROM freq GROUP BY 1)
+SELECT word, CAST(sum(b) AS BIGINT) AS before, CAST(sum(a) AS BIGINT) AS after, CAST(sum(a) - sum(b) AS BIGINT) AS delta
+FROM (SELECT word, n AS b, 0 AS a FROM freq UNION ALL SELECT word, 0, n FROM after) GROUP BY 1""")
 def delta(spark, sf):
     f = cut(freq(spark, sf))
     return T.frequency_delta(f, T.lemma_counts(f, lemmas(f)))
