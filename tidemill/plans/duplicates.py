@@ -379,32 +379,40 @@ def _files(spark, sf):
     share a file doesn't depend on the number of tasks."""
     out = fresh_dir(spark, "pages")
     pages = table(spark, sf, "pages").select(F.col("html").alias("value"), F.col("page_id"))
-    copies = pages.filter("page_id % 25 < 15").withColumn("part", F.lit("copy"))
-    files.write_text_files(pages.withColumn("part", F.lit("page")).unionByName(copies), out, ["part", "page_id"])
+    # one after the other: each copy is newer than every page
+    for part, rows in (("page", pages), ("copy", pages.filter("page_id % 25 < 15"))):
+        files.write_text_files(rows, f"{out}/part={part}", ["page_id"])
     return out
 
 
+def _in_path(column, name):
+    return F.regexp_extract(column, f"{name}=([^/]+)/", 1)
+
+
 # a text file ends with a line feed
 FILES = """files AS (SELECT page_id, part, md5(html || chr(10)) AS digest, CAST(strlen(html) + 1 AS BIGINT) AS size
  FROM pages, (SELECT unnest(['page', 'copy']) AS part) WHERE part = 'page' OR page_id % 25 < 15)"""
 
 
-@query("file_duplicates", sql=f"WITH {FILES} SELECT digest, count(*) AS n_files, CAST(sum(size) AS BIGINT) AS bytes FROM files GROUP BY 1 HAVING count(*) > 1")
+@query("file_duplicates", sql=f"""WITH {FILES}, g AS (SELECT digest, count(*) AS n_files, CAST(sum(size) AS BIGINT) AS bytes, min('part=' || part || '/page_id=' || page_id || '/') AS p
+ FROM files GROUP BY 1 HAVING count(*) > 1)
+SELECT digest, n_files, bytes, regexp_extract(p, 'part=([^/]+)/', 1) AS first_part, CAST(regexp_extract(p, 'page_id=([^/]+)/', 1) AS BIGINT) AS first_page FROM g""")
 def file_copies(spark, sf):
-    return files.duplicate_files(files.file_table(spark, _files(spark, sf))).drop("first_path")
+    found = files.duplicate_files(files.file_table(spark, _files(spark, sf)))
+    first = _in_path("first_path", "part").alias("first_part"), _in_path("first_path", "page_id").cast("long").alias("first_page")
+    return found.select("digest", "n_files", "bytes", *first)
 
 
-@query("file_keep_recommendation", "win_keep_newest_file", sql=f"""WITH {FILES} SELECT digest, count(*) - 1 AS n_delete, CAST(sum(size) - any_value(size) AS BIGINT) AS bytes_saved
- FROM files GROUP BY 1 HAVING count(*) > 1""")
+@query("file_keep_recommendation", "win_keep_newest_file", sql=f"""WITH {FILES} SELECT digest, count(*) - 1 AS n_delete, CAST(sum(size) - any_value(size) AS BIGINT) AS bytes_saved,
+ CASE WHEN count_if(part = 'copy') > 0 THEN 'copy' ELSE 'page' END AS kept_part FROM files GROUP BY 1 HAVING count(*) > 1""")
 def file_keep(spark, sf):
-    return files.keep_newest(files.file_table(spark, _files(spark, sf))).drop("keep_path")
+    return files.keep_newest(files.file_table(spark, _files(spark, sf))).withColumn("kept_part", _in_path("keep_path", "part")).drop("keep_path")
 
 
 @query("src_binary_files", sql=f"WITH {FILES} SELECT part, page_id, size, sha256(html || chr(10)) AS digest FROM files JOIN pages USING (page_id)")
 def file_list(spark, sf):
     found = files.file_table(spark, _files(spark, sf), digest="sha256")
-    at = lambda c: F.regexp_extract("path", f"{c}=([^/]+)/", 1)
-    return found.select(at("part").alias("part"), at("page_id").cast("long").alias("page_id"), "size", "digest")
+    return found.select(_in_path("path", "part").alias("part"), _in_path("path", "page_id").cast("long").alias("page_id"), "size", "digest")
 
 
 # ---- choice and report

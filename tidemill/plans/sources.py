@@ -28,14 +28,16 @@ def csv_sep(spark, sf):
     return files.read_csv(spark, path, CUSTOMER, sep=";")
 
 
-@query("src_csv_rename", sql="""SELECT vec_id, embedding[1]::DOUBLE AS alcohol, embedding[2]::DOUBLE AS ash, label AS class FROM embeddings""")
+NUMBERS = 64
+
+
+@query("src_csv_rename", sql=f"SELECT vec_id, {', '.join(f'embedding[{i}]::DOUBLE AS measure_{i}' for i in range(1, NUMBERS + 1))}, label AS class FROM embeddings")
 def csv_rename(spark, sf):
     path = fresh_dir(spark, "csv-names")
-    src = table(spark, sf, "embeddings").select(
-        F.col("vec_id").alias("a"), F.col("embedding")[0].cast("double").alias("b"), F.col("embedding")[1].cast("double").alias("c"), F.col("label").alias("d")
-    )
-    files.write_csv(src, path)
-    return files.read_csv(spark, path, "vec_id long, alcohol double, ash double, class int")  # names replace the header
+    numbers = [F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(NUMBERS)]
+    files.write_csv(table(spark, sf, "embeddings").select(F.col("vec_id").alias("a"), *numbers, F.col("label").alias("d")), path)
+    names = ", ".join(f"measure_{i} double" for i in range(1, NUMBERS + 1))
+    return files.read_csv(spark, path, f"vec_id long, {names}, class int")  # names replace the header
 
 
 @query("src_tsv_lexicon", sql="""WITH lex AS (SELECT DISTINCT word, CAST(length(word) % 11 - 5 AS INTEGER) AS score FROM (SELECT unnest(string_split(p_name, ' ')) AS word FROM part))

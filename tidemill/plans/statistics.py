@@ -24,7 +24,10 @@ def profiled(c, kind, numeric):
  FROM (SELECT count(*) AS n_rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS n_distinct FROM orders) b, {top} t, ({stats}) s"""
 
 
-PROFILE = [("o_custkey", "bigint", True), ("o_totalprice", "double", True), ("o_orderpriority", "string", False)]
+PROFILE = [
+    ("o_orderkey", "bigint", True), ("o_custkey", "bigint", True), ("o_orderstatus", "string", False), ("o_totalprice", "double", True),
+    ("o_orderdate", "timestamp", False), ("o_orderpriority", "string", False),
+]
 
 
 @query("profile_report", sql=" UNION ALL ".join(profiled(*c) for c in PROFILE))
