@@ -12,6 +12,10 @@ from tidemill.llm.base import by_batch, stored, text_digest, two
 from tidemill.llm.encode import encoder_of
 
 
+#: places over which the rows of one content are dealt
+SALTS = 64
+
+
 def tokenizer_digest(path: str) -> str:
     """The version of a tokenizer: the digest of its file."""
     with open(path, "rb") as f:
@@ -52,7 +56,7 @@ def token_counts(
     if encoder_of(tokenizer).by_word:
         content = F.trim(F.regexp_replace(text, r"[ \t\n\x0B\f\r]+", " "))
     rows = two(docs, id_col, text_col).select("doc_id", content.alias("content"), F.octet_length(text).cast("long").alias("n_bytes"), text_digest(content).alias("digest"))
-    keys = stored(rows.drop("content"), "token-keys")
+    keys = stored(rows.drop("content").withColumn("salt", F.monotonically_increasing_id() % SALTS), "token-keys")
     misses = keys.groupBy("digest").agg(F.min("doc_id").alias("least")).join(read_cache(spark, cache_dir, version), "digest", "left_anti")
     texts = (
         rows.drop("n_bytes")
@@ -67,7 +71,8 @@ def token_counts(
 
     fresh = texts.mapInArrow(count, "digest binary, n_tokens bigint")
     fresh.write.mode("append").parquet(f"{cache_dir}/tokenizer={version}")
-    counts = read_cache(spark, cache_dir, version)
-    return keys.join(counts, "digest", "left").select(
+    # the rows of one content meet its count in up to SALTS places
+    counts = keys.select("digest", "salt").distinct().join(read_cache(spark, cache_dir, version), "digest")
+    return keys.join(counts, ["digest", "salt"], "left").select(
         F.col("doc_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
