@@ -193,20 +193,16 @@ def greedy_sql(nodes, edges):
  lead AS (SELECT nb.vid, coalesce((SELECT min(x) FROM (SELECT unnest(list_intersect(nb.earlier, (SELECT kept FROM fin))) AS x)), nb.vid) AS leader FROM nb)"""
 
 
-# the beginnings of documents: distinct values that grow with the table.  Only ASCII, as DuckDB's edit distance counts bytes
-TITLES = "parts AS (SELECT doc_id AS p_partkey, regexp_replace(substr(text, 1, 80), '[^ -~]', ' ', 'g') AS p_name FROM documents)"
-
-
-@query("similar_titles", sql=f"WITH {TITLES}, {values_sql('p_name', 'val')}, {edges_sql('val', 'edge', THRESHOLD)} SELECT a, b, round(s, 9) AS similarity FROM edge")
-def similar_titles(spark, sf):
-    titles = docs(spark, sf).select("doc_id", F.regexp_replace(F.substring("text", 1, 80), "[^ -~]", " ").alias("title"))
-    near = P.similar_pairs(cut(P.distinct_values(titles, "doc_id", ["title"])), "title", THRESHOLD)
-    return near.select("a", "b", F.round("similarity", 9).alias("similarity"))
+@query("similar_turns")
+def similar_turns(spark, sf):
+    # whole, unchanged messages; DuckDB's edit distance counts bytes, so there is no SQL here and below
+    turns = table(spark, sf, "conversations").select(F.concat_ws("/", "conv_id", "turn").alias("message"), "text")
+    values = cut(P.distinct_values(turns, "message", ["text"]))
+    return P.similar_pairs(values, "text", THRESHOLD).select("a", "b", F.round("similarity", 9).alias("similarity"))
 
 
 @query("similar_texts")
 def similar_texts(spark, sf):
-    # whole texts as they are; DuckDB's edit distance counts bytes, so there is no SQL
     values = cut(P.distinct_values(docs(spark, sf), "doc_id", ["text"]))
     return P.similar_pairs(values, "text", THRESHOLD).select("a", "b", F.round("similarity", 9).alias("similarity"))
 
