@@ -41,8 +41,10 @@ def frame(spark, rows):
 @pytest.mark.parametrize("window,most", [(1000, 4), (1000, 1), (50, 3), (7000, 900), (4_000_000, 3), (1000, 0)])
 def test_bucket_of_a_key_that_is_never_quiet(spark, window, most):
     rows = rows_of(3000, 7, [0, 0, 500, 1000, 30_000, 900_000, 2_500_000])
-    got = {r.id: r.allowed for r in P.throttle_bucket(frame(spark, rows), "k", "ts", "id", window, most).collect()}
-    assert got == plain(rows, lambda: TokenBucket(window, most))
+    want = plain(rows, lambda: TokenBucket(window, most))
+    for busy in (0, 1000, 10**6):  # all keys by tables, the busy one, none
+        got = {r.id: r.allowed for r in P.throttle_bucket(frame(spark, rows), "k", "ts", "id", window, most, busy=busy).collect()}
+        assert got == want
 
 
 def test_refills_of_blocks(spark, monkeypatch):
@@ -62,7 +64,7 @@ def test_a_busy_key_is_many_tasks(spark):
     rows = spark.range(200_000).select("id", F.lit("hot").alias("k"), F.timestamp_millis(F.col("id") * 997).alias("ts"))
     blocks = rows.select(F.floor(F.unix_millis("ts") / (1000 * buckets.WINDOWS))).distinct().count()
     assert blocks > 3000  # groups (key, block) of one key, each a work of its own
-    out = P.throttle_bucket(rows, "k", "ts", "id", 1000, 2)
+    out = P.throttle_bucket(rows, "k", "ts", "id", 1000, 2, busy=100_000)
     assert out.count() == 200_000
 
 

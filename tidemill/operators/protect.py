@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemill.operators.buckets import token_bucket
 from tidemill.operators.rank import rank_in_group
 from tidemill.operators.steps import Breaker, SlidingWindow, TokenBucket
+from tidemill.session import cut, small
 
 
 def retry_delay(policy: str, attempt: Column, base_ms: int, cap_ms: int, jitter: float = 0.0, seed: Column | None = None) -> Column:
@@ -48,6 +49,9 @@ def group_by_size(df: DataFrame, ts: str, id_col: str, seconds: int = 5, most: i
 
 # ---- throttles
 
+#: rows beyond which a key is not one sequence
+BUSY = 1_000_000
+
 
 def throttle_fixed(df: DataFrame, keys: list[str], ts: str, id_col: str, window_s: int, most: int) -> DataFrame:
     """Add ``allowed``: at most ``most`` rows per key and aligned window, in time order."""
@@ -103,16 +107,27 @@ def throttle_sliding(df: DataFrame, key: str, ts: str, id_col: str, window_ms: i
     return _throttle(df, key, ts, id_col, window_ms, lambda: SlidingWindow(window_ms, most), equal_ends=False)
 
 
-def throttle_bucket(df: DataFrame, key: str, ts: str, id_col: str, window_ms: int, most: int, faithful: bool = True) -> DataFrame:
+def throttle_bucket(
+    df: DataFrame, key: str, ts: str, id_col: str, window_ms: int, most: int, faithful: bool = True, busy: int = BUSY
+) -> DataFrame:
     """Add ``allowed``: a token bucket, refilled fully after a whole window, else in part.
 
     ``faithful`` (the default rule) leaves the refill clock where it is on a partial
-    refill, and no key is a sequence; otherwise the clock moves and fractions stay with it, and rows between quiet
-    times are one sequence.
+    refill; otherwise the clock moves and fractions stay with it.
+
+    Rows of a key between quiet times flow through the bucket in order.  Keys with more than ``busy`` rows, which may never
+    be quiet, are no sequences: their refills come from tables of time blocks (only if ``faithful``).  Both give
+    the same answers; the tables cost more for keys of few rows.
     """
-    if faithful:
-        return token_bucket(df, key, ts, id_col, window_ms, most)
-    return _throttle(df, key, ts, id_col, window_ms, lambda: TokenBucket(window_ms, most, False), equal_ends=True)
+    machine = lambda: TokenBucket(window_ms, most, faithful)
+    if not faithful:
+        return _throttle(df, key, ts, id_col, window_ms, machine, equal_ends=True)
+    large = cut(df.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > busy).select("__key"))
+    if large.isEmpty():
+        return _throttle(df, key, ts, id_col, window_ms, machine, equal_ends=True)
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    rest = _throttle(df.join(small(large), same, "left_anti"), key, ts, id_col, window_ms, machine, equal_ends=True)
+    return token_bucket(df.join(small(large), same, "left_semi"), key, ts, id_col, window_ms, most).unionByName(rest)
 
 
 def _throttle(df, key, ts, id_col, window_ms, machine, equal_ends):
