@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import random
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -21,10 +19,11 @@ from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembl
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.clean import update_from
+from tidemill.operators.neighbours import nearest
 from tidemill.operators.rank import rank_in_group
 from tidemill.session import small
 
@@ -90,52 +89,7 @@ def regression_metrics(df: DataFrame, y: str, p: str) -> DataFrame:
     return sums.select((1 - F.try_divide("sse", "sst")).alias("r2"), "mse")
 
 
-# ---- exact nearest neighbours
-
-TRAIN_BLOCK = 20_000
-TEST_BLOCK = 5_000
-
-
-def nearest(train: DataFrame, test: DataFrame, features: list[str], label: str, id_col: str, k: int,
-            train_block: int = TRAIN_BLOCK, test_block: int = TEST_BLOCK) -> DataFrame:
-    """The k nearest training rows of every test row: id, rank, label, distance (ties by training id).
-
-    Both sides are cut into blocks of bounded size.  Each pair of blocks is one task
-    group, which gives only its own k best per test row; those are merged per row.
-    """
-    n_train, n_test = train.count(), test.count()
-    tb, sb = max(1, -(-n_train // train_block)), max(1, -(-n_test // test_block))
-    block = lambda n, salt: F.pmod(F.xxhash64(F.col(id_col), F.lit(salt)), F.lit(n)).cast("int")
-    vector = F.array(*[F.col(c).cast("double") for c in features]).alias("x")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = test.select(F.col(id_col).alias("id"), vector, block(sb, 1).alias("s")).withColumn("t", every(tb))
-    right = train.select(F.col(id_col).alias("tid"), vector, F.col(label).cast("double").alias("y"), block(tb, 2).alias("t")).withColumn("s", every(sb))
-
-    def best(_, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if a.empty or b.empty:
-            return pd.DataFrame({"id": [], "tid": [], "y": [], "d": []})
-        q, x = np.vstack(a["x"].to_numpy()), np.vstack(b["x"].to_numpy())
-        ids, tid, y, hits = a["id"].to_numpy(), b["tid"].to_numpy(), b["y"].to_numpy(), []
-        kk = min(k, len(x))
-        for start in range(0, len(q), 64):
-            piece = q[start : start + 64]
-            d = np.zeros((len(piece), len(x)))
-            for f in range(x.shape[1]):
-                d += (piece[:, f, None] - x[None, :, f]) ** 2
-            edge = np.partition(d, kk - 1, axis=1)[:, kk - 1]
-            for i in range(len(piece)):
-                c = np.nonzero(d[i] <= edge[i])[0]
-                c = c[np.lexsort((tid[c], d[i][c]))][:kk]
-                hits.append((np.repeat(ids[start + i], kk), tid[c], y[c], d[i][c]))
-        return pd.DataFrame({n: np.concatenate([h[j] for h in hits]) for j, n in enumerate(("id", "tid", "y", "d"))})
-
-    kind = train.schema[id_col].dataType.simpleString()
-    schema = f"id {test.schema[id_col].dataType.simpleString()}, tid {kind}, y double, d double"
-    found = left.groupBy("s", "t").cogroup(right.groupBy("s", "t")).applyInPandas(best, schema)
-    # k rows per training block and test row
-    w = Window.partitionBy("id").orderBy("d", "tid")
-    ranked = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-    return ranked.select(F.col("id").alias(id_col), "rank", F.col("y").alias("label"), F.sqrt("d").alias("distance"))
+# ---- nearest neighbours
 
 
 def vote(neighbours: DataFrame, id_col: str, ks: list[int]) -> DataFrame:
