@@ -122,7 +122,7 @@ def permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_quotation_linking")
 def quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotes.link_quotes(table(spark, sf_dir, "conversations"))
+    return quotes.link_quotes(table(spark, sf_dir, "conversations"), across_gaps=True)
 
 
 @query("op11_cross_tokenizer_alignment")
