@@ -182,3 +182,22 @@ def test_auto_and_sharded(spark):
         assert D.dedup_auto(spark.createDataFrame(rows, "id long, t string"), "id", "t")[0].count() == 1
     report = D.dedup_report(df, kept, method).first()
     assert (report.original, report.kept, report.removed, report.rate) == (300, 30, 270, 0.9)
+
+
+def test_probabilistic_with_nulls_and_empty_tables(spark):
+    kind = "id long, t string, digest int"
+    rows = [(1, "a", 0), (2, None, 0), (3, "b", 0), (4, "a", 0), (5, None, 0), (6, "c", 0)]
+    df, ids = spark.createDataFrame(rows, kind), lambda d: sorted(r.id for r in d.collect())
+    seen = lambda *texts: spark.createDataFrame([(0, t, 0) for t in texts], kind)
+    assert ids(D.dedup_probabilistic(df, "t", "id", seen("b"))) == [1, 2, 6]
+    assert ids(D.dedup_probabilistic(df, "t", "id", seen("b", None))) == [1, 6]
+    assert ids(D.dedup_probabilistic(df, "t", "id", seen())) == [1, 2, 3, 6]
+    assert ids(D.dedup_probabilistic(df.limit(0), "t", "id", seen("b"))) == []
+    bits, k = D.bloom_size(10, 0.01)
+    probe = D.bloom_probe(df, "t", D.bloom_build(seen("b", None), "t", bits, k), bits, k)
+    assert sorted((r.t or "", r.maybe_seen) for r in probe.collect()) == [("", False), ("a", False), ("b", True), ("c", False)]
+
+
+def test_exact_on_texts_and_numbers(spark):
+    df = spark.createDataFrame([(1, "a", 1.0), (2, "a", 1.0), (3, "a", 2.0), (4, None, 1.0), (5, None, 1.0), (6, "", 1.0)], "id long, t string, x double")
+    assert sorted(map(tuple, D.dedup_exact(df, ["t", "x"], "id").collect()), key=str) == [(1, "a", 1.0), (3, "a", 2.0), (4, None, 1.0), (6, "", 1.0)]

@@ -7,8 +7,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemill.functions import hashing as H
 from tidemill.functions import text as X
@@ -26,8 +27,10 @@ except ImportError:
 
 
 def dedup_exact(df: DataFrame, columns: list[str], order: str) -> DataFrame:
-    """The first of equal rows by the order column."""
-    return first_per_key(df, columns, order)
+    """The first of equal rows by the order column; texts are sorted and compared by their digests."""
+    texts = [c for c in columns if df.schema[c].dataType == StringType()]
+    keys = [f"__d_{c}" if c in texts else c for c in columns]
+    return first_per_key(df.withColumns({f"__d_{c}": F.md5(c) for c in texts}), keys, order).select(*df.columns)
 
 
 def dedup_by_digest(df: DataFrame, text: str, order: str) -> DataFrame:
@@ -52,12 +55,12 @@ def dedup_subset(df: DataFrame, columns: list[str], order: str, keep: str | None
     return first_per_key(df, columns, order, last=keep == "last")
 
 
-def dedup_sharded(df: DataFrame, text: str, order: str, shards: int) -> DataFrame:
+def dedup_sharded(df: DataFrame, text: str, order: str, shards: int, columns: list[str] | None = None) -> DataFrame:
     """Dedup inside hash shards; equal texts share a shard, so the result is global.
 
-    Copies are combined before the shuffle, so a shard gets one row per text and task.
+    Copies are combined before the shuffle, so a shard gets one row per text and task, with the wanted columns only.
     """
-    digest = df.withColumn("digest", F.md5(text))
+    digest = df.select(*(df.columns if columns is None else dict.fromkeys([order, *columns])), F.md5(text).alias("digest"))
     shard = H.digest_mod(F.col("digest"), shards).cast("int")
     return first_per_key(digest.withColumn("shard_id", shard), ["shard_id", "digest"], order)
 
@@ -161,42 +164,50 @@ def distinct_texts(df: DataFrame, text: str) -> int:
     return max(1, df.where(F.col(text).isNotNull()).agg(F.count_distinct(F.sha2(text, 256))).first()[0])
 
 
-def bloom_positions(df: DataFrame, text: str, bits: int, hashes: int) -> DataFrame:
-    """Every row once per hash, with its bit position."""
-    numbered = df.withColumn("hash_no", F.explode(F.sequence(F.lit(0), F.lit(hashes - 1))))
-    salted = F.md5(F.concat(F.col(text), F.col("hash_no").cast("string")))
-    return numbered.withColumn("pos", H.digest_mod(salted, bits))
+def bloom_positions(text: str, bits: int, hashes: int) -> Column:
+    """The bit positions of a text, one per hash; only these leave the scan, never a text per hash."""
+    salted = lambda i: F.md5(F.concat(F.col(text), i.cast("string")))
+    return F.transform(F.sequence(F.lit(0), F.lit(hashes - 1)), lambda i: H.digest_mod(salted(i), bits))
 
 
 def bloom_build(df: DataFrame, text: str, bits: int, hashes: int) -> DataFrame:
     """The filter as a table of 64-bit words: word, mask.  Combined before the shuffle."""
-    pos = bloom_positions(df.select(text), text, bits, hashes)
+    pos = df.where(F.col(text).isNotNull()).select(F.explode(bloom_positions(text, bits, hashes)).alias("pos"))
     bit = F.expr("shiftleft(1L, int(pos % 64))")
     return pos.groupBy(F.floor(F.col("pos") / 64).alias("word")).agg(F.bit_or(bit).alias("mask"))
 
 
-def bloom_probe(df: DataFrame, text: str, bloom: DataFrame, bits: int, hashes: int) -> DataFrame:
-    """Distinct texts with ``maybe_seen``: all their bits are set."""
-    pos = bloom_positions(df.select(text).distinct(), text, bits, hashes).withColumn("word", F.floor(F.col("pos") / 64))
+def bloom_probe_digests(df: DataFrame, text: str, bloom: DataFrame, bits: int, hashes: int) -> DataFrame:
+    """digest (md5) of each distinct text with ``maybe_seen``: all its bits are set.  A null text has no row."""
+    known = df.where(F.col(text).isNotNull()).select(F.md5(text).alias("digest"), bloom_positions(text, bits, hashes).alias("at"))
+    pos = known.dropDuplicates(["digest"]).select("digest", F.explode("at").alias("pos")).withColumn("word", F.floor(F.col("pos") / 64))
     hit = F.coalesce(F.expr("getbit(mask, int(pos % 64))"), F.lit(0))
-    return pos.join(bloom, "word", "left").groupBy(text).agg((F.min(hit) == 1).alias("maybe_seen"))
+    return pos.join(bloom, "word", "left").groupBy("digest").agg((F.min(hit) == 1).alias("maybe_seen"))
+
+
+def bloom_probe(df: DataFrame, text: str, bloom: DataFrame, bits: int, hashes: int) -> DataFrame:
+    """Distinct texts with ``maybe_seen``; the texts meet their answers by digest.  A null text was never seen."""
+    texts = df.groupBy(F.md5(text).alias("digest")).agg(F.any_value(text).alias(text))
+    answers = bloom_probe_digests(df, text, bloom, bits, hashes)
+    return texts.join(answers, "digest", "left").select(text, F.coalesce("maybe_seen", F.lit(False)).alias("maybe_seen"))
 
 
 def dedup_probabilistic(df: DataFrame, text: str, order: str, seen: DataFrame | None = None, error: float = 0.01) -> DataFrame:
     """First rows of the texts that are not among the seen ones, if there are any.
 
     The Bloom filter is sized for the distinct texts counted in ``seen``.  Texts outside of it are new for sure; only the
-    others are looked up exactly, so a false alarm loses nothing.
+    others are looked up exactly, by digest, so a false alarm loses nothing.  A null text is a text like others.
     """
     if seen is None:
         return dedup_exact(df, [text], order)
     bits, hashes = bloom_size(distinct_texts(seen, text), error)
-    probe = bloom_probe(df, text, bloom_build(seen, text, bits, hashes), bits, hashes)
-    fresh = dedup_exact(df, [text], order).join(probe, text)
-    known = seen.select(text).distinct()
-    sure = fresh.filter("NOT maybe_seen")
-    checked = fresh.filter("maybe_seen").join(known, text, "left_anti")
-    return sure.unionByName(checked).select(*df.columns)
+    digest = lambda d: F.coalesce(F.md5(text), F.lit("")).alias(d)
+    probe = bloom_probe_digests(df, text, bloom_build(seen, text, bits, hashes), bits, hashes).withColumnRenamed("digest", "__digest")
+    fresh = first_per_key(df.select("*", digest("__digest")), ["__digest"], order)
+    told = fresh.join(probe, "__digest", "left").withColumn("maybe_seen", F.coalesce("maybe_seen", F.lit(True)))
+    sure = told.filter("NOT maybe_seen")
+    checked = told.filter("maybe_seen").join(seen.select(digest("__digest")).distinct(), "__digest", "left_anti")
+    return sure.select(*df.columns).unionByName(checked.select(*df.columns))
 
 
 # ---- MinHash

@@ -70,7 +70,7 @@ def keep_none(spark, sf):
 
 @query("dedup_sharded", sql=f"""SELECT min(doc_id) AS doc_id, CAST({mod_sql('md5(text)', 16)} AS INTEGER) AS shard_id FROM documents GROUP BY text, 2""")
 def sharded(spark, sf):
-    return D.dedup_sharded(docs(spark, sf), "text", "doc_id", 16).select("doc_id", "shard_id")
+    return D.dedup_sharded(docs(spark, sf), "text", "doc_id", 16, ["doc_id"]).select("doc_id", "shard_id")
 
 
 @query("db_merge_duplicates", sql="""WITH d AS (SELECT p_partkey FROM (SELECT p_partkey, row_number() OVER (PARTITION BY p_name, p_brand ORDER BY p_partkey) AS rn FROM part) WHERE rn > 1)
@@ -309,15 +309,14 @@ SELECT md5(text) AS digest, bool_and(s.pos IS NOT NULL) AS maybe_seen FROM p LEF
 def bloom_hits(spark, sf):
     seen = docs(spark, sf).filter("lang = 'en'")
     bits, hashes = sized(seen)
-    probe = D.bloom_probe(docs(spark, sf), "text", D.bloom_build(seen, "text", bits, hashes), bits, hashes)
-    return probe.select(F.md5("text").alias("digest"), "maybe_seen")
+    return D.bloom_probe_digests(docs(spark, sf), "text", D.bloom_build(seen, "text", bits, hashes), bits, hashes)
 
 
 @query("dedup_probabilistic", sql="SELECT min(doc_id) AS doc_id FROM documents GROUP BY text")
 def probabilistic(spark, sf):
     # the table comes in two batches; the second is checked against the first
     df = docs(spark, sf).select("doc_id", "text")
-    middle = df.agg(F.max("doc_id")).first()[0] // 2
+    middle = (df.agg(F.max("doc_id")).first()[0] or 0) // 2
     one, two = df.filter(F.col("doc_id") <= middle), df.filter(F.col("doc_id") > middle)
     first = D.dedup_exact(one, ["text"], "doc_id")
     return first.unionByName(D.dedup_probabilistic(two, "text", "doc_id", one)).select("doc_id")
