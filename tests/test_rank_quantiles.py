@@ -60,3 +60,20 @@ def test_quantiles_of_many_groups(spark, small):
     df = spark.range(50_000).selectExpr("id % 12500 AS g", "CAST(id DIV 12500 AS DOUBLE) + id % 12500 AS x").unionByName(spark.createDataFrame([(None, 5.0)], "g long, x double"))
     got = {r.g: r.x_p50 for r in Q.exact_quantiles(df, ["x"], [0.5], by=["g"], small_rows=small).collect()}
     assert got == {None: 5.0} | {g: g + 1.5 for g in range(12_500)}
+
+
+def test_index_by_text_and_several_columns(spark):
+    """Nine of ten texts have one first letter, and nine of ten rows one value of the first order column."""
+    rows = [(f"{'a' if i % 10 else 'b'}{i * 7919 % 5000:04d}", int(i % 10 == 0), i, None if i % 7 else "k") for i in range(5000)]
+    df = spark.createDataFrame(rows, "t string, o int, id long, g string").repartition(5)
+    for order, key in ((["t"], lambda r: r[0]), (["o", "id"], lambda r: r[1:3])):
+        got = {r.id: r.i for r in R.row_index(df, order, "i").collect()}
+        assert got == {r[2]: i for i, r in enumerate(sorted(rows, key=key))}
+        placed = R.ordered_index(df, order, "i", partitions=16)
+        assert {r.id: r.i for r in placed.collect()} == got
+        sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) >= 12 and max(sizes) < 1000
+    ranked = {r.id: r.n for r in R.rank_in_group(df, ["g"], ["t"], "n").collect()}
+    for g in (None, "k"):
+        assert [ranked[r[2]] for r in sorted(r for r in rows if r[3] == g)] == list(range(1, 1 + sum(r[3] == g for r in rows)))
+    assert R.row_index(df.limit(0), ["t"]).count() == 0

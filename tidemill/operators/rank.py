@@ -1,8 +1,8 @@
 """Row numbers that do not send a large table, or a large group, to one task.
 
-The order column is cut into slices at approximate quantiles.  Rows are numbered
-inside a slice and shifted by the number of rows in the slices before it, so the
-result is exact whatever the cuts are.
+A numeric order column is cut into slices at approximate quantiles; text, or an order of several columns, is
+partitioned by range.  Rows are numbered inside a slice and shifted by the number of rows in the slices before it, so
+the result is exact whatever the cuts are.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemill.session import cut
+
 ROWS_PER_SLICE = 1_000_000
 MAX_SLICES = 1024
 _SLICE = "__slice"
@@ -37,14 +39,44 @@ def with_slices(df: DataFrame, order: str, rows_per_slice: int = ROWS_PER_SLICE)
     return df.withColumn(_SLICE, _bucket(F.col(order), bounds)), len(bounds) + 1
 
 
+def _has_quantiles(df: DataFrame, column: str) -> bool:
+    return df.select(column).dtypes[0][1].split("(")[0] not in ("string", "boolean", "binary", "char", "varchar")
+
+
+def ordered_index(df: DataFrame, order: list[str], name: str = "row_index", partitions: int | None = None) -> DataFrame:
+    """0-based position of each row in the whole table, by order columns of any type.
+
+    Rows are partitioned by the range of all order columns together, so that a value of the first one with most of the
+    rows is many partitions, and numbered in their partition.  The numbered rows are written before partitions are
+    counted: counts and numbers then speak of the same partitions.
+    """
+    number = [partitions] if partitions else []
+    placed = cut(df.repartitionByRange(*number, *order).sortWithinPartitions(*order).withColumn("__m", F.monotonically_increasing_id()))
+    # the id of a row is the number of its partition, shifted by 33 bits, and its place there
+    part, place = F.shiftright("__m", 33), F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))
+    starts, total = [], 0
+    for p, last in sorted(placed.groupBy(part.alias("p")).agg(F.max(place)).collect()):  # one row per partition
+        starts.append((p, total))
+        total += last + 1
+    before = F.broadcast(df.sparkSession.createDataFrame(starts, "__p bigint, __before bigint"))
+    return placed.join(before, part == F.col("__p")).select(*df.columns, (place + F.col("__before")).alias(name))
+
+
 def rank_in_group(
     df: DataFrame, keys: list[str], order: list[str], name: str = "rank", rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """1-based position of each row among the rows with the same keys.
 
-    ``order[0]`` must be a number or a timestamp; together the order columns
-    must be unique inside a group.  A group of any size is split over slices.
+    Together the order columns must be unique inside a group.  A group of any size is split over slices, or over ranges
+    if ``order[0]`` is a text.
     """
+    if not _has_quantiles(df, order[0]):
+        placed = ordered_index(df, [*keys, *order], "__i")
+        firsts = placed.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.min("__i").alias("__first"))
+        same = F.lit(True)
+        for i, k in enumerate(keys):
+            same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+        return placed.join(firsts, same).select(*df.columns, (F.col("__i") - F.col("__first") + 1).alias(name))
     sliced, slices = with_slices(df, order[0], rows_per_slice)
     local = F.row_number().over(Window.partitionBy(*keys, _SLICE).orderBy(*order)).cast("long")
     if slices == 1:
@@ -68,6 +100,8 @@ def rank_in_group(
 
 def row_index(df: DataFrame, order: list[str], name: str = "row_index", rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """0-based position of each row in the whole table."""
+    if len(order) > 1 or not _has_quantiles(df, order[0]):
+        return ordered_index(df, order, name)
     sliced, slices = with_slices(df, order[0], rows_per_slice)
     local = F.row_number().over(Window.partitionBy(_SLICE).orderBy(*order)).cast("long") - 1
     if slices > 1:

@@ -32,12 +32,7 @@ def shard_by_hash(df: DataFrame, key: str, shards: int) -> DataFrame:
 
 def shard_by_key(df: DataFrame, key: str) -> DataFrame:
     """One shard per value of a column, numbered in value order."""
-    values = df.select(key).distinct()
-    if values.schema[key].dataType.typeName() in ("string", "boolean"):
-        # text cannot be cut at quantiles: number by a numeric stand-in first, the value decides inside
-        numbered = row_index(values.withColumn("__o", F.ascii(key)), ["__o", key], "shard_id").drop("__o")
-    else:
-        numbered = row_index(values, [key], "shard_id")
+    numbered = row_index(df.select(key).distinct(), [key], "shard_id")
     return df.join(small(numbered), key)
 
 
