@@ -131,3 +131,16 @@ def test_split_takes_exact_shares(spark):
     df = spark.range(1000).select("id", F.when(F.col("id") % 10 == 0, "no").otherwise("yes").alias("y"))
     got = {(r.y, r.in_train): r["count"] for r in M.split_by_class(df, "id", "y").groupBy("y", "in_train").count().collect()}
     assert got == {("no", True): 80, ("no", False): 20, ("yes", True): 720, ("yes", False): 180}
+
+
+def test_sentiment_shuffles_sums_and_no_words(spark):
+    import re
+
+    from tidemill.operators import texts as T
+
+    docs = spark.createDataFrame([(1, "Good good bad"), (1, "good x"), (2, None), (3, " "), (4, "x y")], "id long, text string")
+    lexicon = spark.createDataFrame([("good", 3), ("bad", -2)], "word string, score int")
+    out = T.sentiment(docs, "id", "text", lexicon)
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", out._jdf.queryExecution().executedPlan().toString())
+    assert keys and not any("word" in k for k in keys)
+    assert sorted(((r.id, r.sentiment) for r in out.collect()), key=str) == [(1, 7 / 5), (1, 7 / 5), (2, None), (3, None), (4, 0.0)]

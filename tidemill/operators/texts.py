@@ -76,10 +76,13 @@ def tag_counts(freq: DataFrame, tags: DataFrame) -> DataFrame:
 
 
 def sentiment(df: DataFrame, id_col: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """Mean word score per text, unknown words 0; a text without words gets null."""
-    terms = term_table(df, id_col, X.words(F.lower(text)))
+    """Mean word score per text, unknown words 0; a text without words gets null.
+
+    With a lexicon that can be broadcast the words of a text stay in its task, and only sums per text are shuffled.
+    """
+    terms = df.select(id_col, F.explode(X.words(F.lower(text))).alias("word"))
     scored = terms.join(small(lexicon), "word", "left")
-    mean = F.sum(F.coalesce("score", F.lit(0)) * F.col("n")) / F.sum("n")
+    mean = F.sum(F.coalesce("score", F.lit(0))) / F.count(F.lit(1))
     per = scored.groupBy(id_col).agg(mean.alias("sentiment"))
     return df.select(id_col).join(per, id_col, "left")
 
