@@ -144,3 +144,22 @@ def test_sentiment_shuffles_sums_and_no_words(spark):
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", out._jdf.queryExecution().executedPlan().toString())
     assert keys and not any("word" in k for k in keys)
     assert sorted(((r.id, r.sentiment) for r in out.collect()), key=str) == [(1, 7 / 5), (1, 7 / 5), (2, None), (3, None), (4, 0.0)]
+
+
+def test_a_large_file_of_one_row_group_is_spread(spark, tmp_path):
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tidemill.session import table
+
+    rows = [np.random.default_rng(i).bytes(20_000).hex() for i in range(1_000)]
+    for name, size in (("documents", 1_000), ("pages", 50)):
+        pq.write_table(pa.table({"id": range(1_000), "text": rows}), f"{tmp_path}/{name}.parquet", row_group_size=size, compression="none")
+    held = lambda df: [n for n in df.select("id").rdd.mapPartitions(lambda x: [sum(1 for _ in x)]).collect() if n]
+    raw = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert raw.rdd.getNumPartitions() >= 8 and held(raw) == [1_000]
+    docs = table(spark, str(tmp_path), "documents")
+    assert max(held(docs)) <= 250 and docs.distinct().count() == 1_000
+    even = table(spark, str(tmp_path), "pages")
+    assert "Repartition" not in even._jdf.queryExecution().optimizedPlan().toString() and max(held(even)) <= 250
