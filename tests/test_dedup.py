@@ -201,3 +201,20 @@ def test_probabilistic_with_nulls_and_empty_tables(spark):
 def test_exact_on_texts_and_numbers(spark):
     df = spark.createDataFrame([(1, "a", 1.0), (2, "a", 1.0), (3, "a", 2.0), (4, None, 1.0), (5, None, 1.0), (6, "", 1.0)], "id long, t string, x double")
     assert sorted(map(tuple, D.dedup_exact(df, ["t", "x"], "id").collect()), key=str) == [(1, "a", 1.0), (3, "a", 2.0), (4, None, 1.0), (6, "", 1.0)]
+
+
+def test_signatures_of_more_tokens_than_a_worker_remembers(monkeypatch, spark):
+    """Tokens that are forgotten and met again, texts longer than a chunk, and an answer of several pieces."""
+    from hashlib import md5
+
+    monkeypatch.setattr(D, "_CACHE", 40)
+    monkeypatch.setattr(D, "_CHUNK", 16)
+    monkeypatch.setattr(D, "_OUT", 7)
+    rnd = random.Random(3)
+    texts = [" ".join(f"w{rnd.randrange(300)}" for _ in range(rnd.randrange(60))) for _ in range(60)] + [None, " ", "ÄÖ x " + "y" * 90]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string").coalesce(1)
+    got = {r.id: r.signature for r in D.minhash_signature(df, "t", hashes=12).collect()}
+    for i, t in enumerate(texts):
+        tokens = (t or "").lower().split()
+        want = [min(md5(f"{w}{h}".encode()).hexdigest() for w in tokens) for h in range(12)] if tokens else None
+        assert got[i] == want
