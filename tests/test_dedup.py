@@ -42,6 +42,46 @@ def test_pairs_lose_nothing(spark, threshold, block):
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
+@pytest.mark.parametrize("block_chars", [10**7, 2000])
+def test_long_texts_in_blocks_lose_nothing(spark, block_chars):
+    """Whole texts, near copies among them, in one and in many blocks; blanks of all kinds, and texts without words."""
+    rnd = random.Random(9)
+    words = lambda n: [rnd.choice(WORDS) + rnd.choice(["", "s", "é"]) for _ in range(n)]
+    base = [words(rnd.randint(40, 90)) for _ in range(25)]
+    near = [[w if rnd.random() < p else "x" for w in rnd.choice(base)] for p in (0.95, 0.8, 0.7, 0.6) for _ in range(6)]
+    texts = [rnd.choice([" ", "\u3000", "\t"]).join(t) for t in base + near] + ["- -", "", "one\x1ctwo three"]
+    values = P.distinct_values(frame(spark, texts), "id", ["t"])
+    assert P._mean_words(P._prepared(values, "t")) > P.LONG
+    got = {(r.a, r.b): r.similarity for r in P.similar_pairs(values, "t", 0.6, block_chars=block_chars).collect()}
+    every = {(a, b): similarity(texts[a], texts[b]) for b in range(len(texts)) for a in range(b)}
+    want = {k: s for k, s in every.items() if s >= 0.6}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+
+
+def test_long_texts_travel_once_per_block(spark):
+    """A text does not go to each of its words (with all the others beside it): the rows that meet are blocks x texts."""
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice(WORDS) for _ in range(60)) for _ in range(40)]
+    pairs = P.similar_pairs(P.distinct_values(frame(spark, texts), "id", ["t"]), "t", 0.6)
+    assert pairs.count() <= 40 * 39 / 2
+    forms = P._prepared(frame(spark, texts).withColumnRenamed("id", "vid"), "t").select("vid", "rec.form", "rec.code")
+    plan = P._near_in_blocks(forms, 0.6, 10**7)._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInPandas" in plan and "Join" not in plan
+
+
+def test_edit_distance_in_bits():
+    rnd = random.Random(1)
+    for _ in range(300):
+        x, y = ("".join(rnd.choice("abé ") for _ in range(rnd.randint(0, 90))) for _ in range(2))
+        row = list(range(len(y) + 1))
+        for i, a in enumerate(x):
+            row, before = [i + 1], row
+            for j, b in enumerate(y):
+                row.append(min(before[j + 1] + 1, row[j] + 1, before[j] + (a != b)))
+        for most in (0, row[-1] - 1, row[-1], row[-1] + 3):
+            assert P.edit_within(x, P._bits(x), y, most) == (row[-1] if row[-1] <= most else None)
+
+
 def test_whole_texts_are_compared(spark, tmp_path):
     """Texts that differ only behind a long common beginning, or only in accents, are not alike as their beginnings are."""
     from __spark_entry__ import queries
