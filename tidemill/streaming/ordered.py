@@ -44,26 +44,30 @@ class InOrder(StatefulProcessor):
             values = [tuple(r) for r in chunk[self.columns].astype(object).itertuples(index=False)]
             self.waiting.appendList(values)
             self._wake(-(-min(v[0] for v in values) // 1000))
-        yield self._answers(key, [])
+        yield from ()  # nothing is decided yet, and an empty frame would cost more than all else here
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
-        rows = sorted(self.waiting.get(), key=lambda r: (r[0], r[1])) if self.waiting.exists() else []
+        rows = sorted(self.waiting.get(), key=lambda r: (r[0], r[1]))
         due = sum(r[0] <= now * 1000 for r in rows)
         machine = self.machine()
-        machine.load(list(self.state.get()) if self.state.exists() else [])
+        before = list(self.state.get())
+        machine.load(before)
         answers = [(r[1], machine(r[0], *r[2:])) for r in rows[:due]]
         machine.tick(now)
-        for state, left in ((self.state, machine.save()), (self.waiting, [tuple(r) for r in rows[due:]])):
+        for state, had, left in ((self.state, before, machine.save()), (self.waiting, rows, [tuple(r) for r in rows[due:]])):
+            if left and len(left) == len(had) and all(tuple(a) == tuple(b) for a, b in zip(had, left)):
+                continue  # each call goes to the JVM
             if left:
                 state.put(left)
-            elif state.exists():
+            elif had:
                 state.clear()
         times = [-(-rows[due][0] // 1000)] if due < len(rows) else []
         times += [t for t in [machine.wakes()] if t is not None and t > now]
         if times:
             self._wake(min(times))
-        yield self._answers(key, answers)
+        if answers:
+            yield self._answers(key, answers)
 
     def _answers(self, key, answers: list[tuple]) -> pd.DataFrame:
         return pd.DataFrame([(key[0], i, a) for i, a in answers], columns=["key", "id", self.out])

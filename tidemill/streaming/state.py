@@ -37,13 +37,18 @@ class SessionProcessor(StatefulProcessor):
         return pd.DataFrame(rows, columns=names)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        chunk = pd.concat([r[["event_time", "amount"]] for r in rows]).sort_values("event_time")
-        us = chunk["event_time"].astype("datetime64[us]").astype("int64")
-        cuts = (us.diff() > self.gap_ms * 1000).cumsum()
-        parts = pd.DataFrame({"us": us, "v": chunk["amount"].fillna(0.0), "part": cuts}).groupby("part", sort=True)
-        done, current = [], self.state.get() if self.state.exists() else None
-        for _, p in parts:
-            first, last, n, v = int(p["us"].iloc[0]), int(p["us"].iloc[-1]), len(p), float(p["v"].sum())
+        chunk = [(r["event_time"].astype("datetime64[us]").astype("int64").tolist(), r["amount"].fillna(0.0).tolist()) for r in rows]
+        events = sorted((t, v) for us, amounts in chunk for t, v in zip(us, amounts))
+        parts: list[list] = []  # first, last, events, value
+        for us, v in events:
+            if parts and us - parts[-1][1] <= self.gap_ms * 1000:
+                p = parts[-1]
+                p[1], p[2], p[3] = us, p[2] + 1, p[3] + v
+            else:
+                parts.append([us, us, 1, v])
+        done, current = [], self.state.get()
+        ends = None if current is None else current[1]
+        for first, last, n, v in parts:
             if current is not None:
                 cf, cl, cn, cv = current
                 if first - cl <= self.gap_ms * 1000 and cf - last <= self.gap_ms * 1000:
@@ -54,15 +59,18 @@ class SessionProcessor(StatefulProcessor):
                     continue
                 done.append(self._row(key, *current))
             current = (first, last, n, v)
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
         self.state.update(current)
-        self.handle.registerTimer(current[1] // 1000 + self.gap_ms)
-        yield self._frame(done)
+        if current[1] != ends:  # a user has one timer, which stands at the end of the open session
+            if ends is not None:
+                self.handle.deleteTimer(ends // 1000 + self.gap_ms)
+            self.handle.registerTimer(current[1] // 1000 + self.gap_ms)
+        if done:  # an empty frame would cost more than all else here
+            yield self._frame(done)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.state.exists():
-            yield self._frame([self._row(key, *self.state.get())])
+        current = self.state.get()
+        if current is not None:
+            yield self._frame([self._row(key, *current)])
             self.state.clear()
 
     def close(self) -> None:
