@@ -61,3 +61,13 @@ def test_more_clusters_cost_less(spark, sf):
 
     cost = [r["cost"] for r in cluster_scan(points(spark, sf), [2, 5, 10, 20]).orderBy("k").collect()]
     assert cost == sorted(cost, reverse=True) and cost[-1] > 0
+
+
+def test_fits_side_by_side_are_those_of_one_at_a_time(spark, sf):
+    from tidemill.operators.models import cluster_scan
+    from tidemill.plans.learning import points
+
+    df = points(spark, sf)
+    one, four = ([tuple(r) for r in cluster_scan(df, range(2, 6), silhouette=True, side=n).orderBy("k").collect()] for n in (1, 4))
+    assert [r[0] for r in four] == [2, 3, 4, 5] and four[0][2] is None
+    assert all(a[1:] == pytest.approx(b[1:], rel=1e-9) for a, b in zip(one[1:], four[1:])) and one[0][1] == pytest.approx(four[0][1])

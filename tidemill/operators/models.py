@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import random
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -199,18 +201,23 @@ def scaled(df: DataFrame) -> DataFrame:
     return model.transform(df).drop("features").withColumnRenamed("s", "features")
 
 
-def cluster_scan(df: DataFrame, ks: range, seed: int = 42, silhouette: bool = False) -> DataFrame:
-    """k, cost (within sum of squares), its change, and optionally the silhouette."""
-    measure, rows, before = ClusteringEvaluator(), [], None
+def cluster_scan(df: DataFrame, ks: range, seed: int = 42, silhouette: bool = False, side: int = 4) -> DataFrame:
+    """k, cost (within sum of squares), its change, and optionally the silhouette.  ``side`` fits run side by side, as the
+    short jobs of one leave cores idle."""
+    measure = ClusteringEvaluator()
+
+    def fitted(k: int) -> tuple[float, float | None]:
+        model = KMeans(k=k, seed=seed).fit(df)
+        return model.summary.trainingCost, measure.evaluate(model.transform(df)) if silhouette else None
+
     df.persist()
     try:
-        for k in ks:
-            model = KMeans(k=k, seed=seed).fit(df)
-            cost = model.summary.trainingCost
-            rows.append((k, cost, None if before is None else cost - before, measure.evaluate(model.transform(df)) if silhouette else None))
-            before = cost
+        with ThreadPool(side) as pool:
+            found = pool.map(inheritable_thread_target(df.sparkSession)(fitted), ks, chunksize=1)
     finally:
         df.unpersist()
+    before = [None, *[cost for cost, _ in found]]
+    rows = [(k, cost, None if b is None else cost - b, s) for k, b, (cost, s) in zip(ks, before, found)]
     return df.sparkSession.createDataFrame(rows, "k int, cost double, diff double, silhouette double")
 
 
