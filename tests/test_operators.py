@@ -163,3 +163,19 @@ def test_a_large_file_of_one_row_group_is_spread(spark, tmp_path):
     assert max(held(docs)) <= 250 and docs.distinct().count() == 1_000
     even = table(spark, str(tmp_path), "pages")
     assert "Repartition" not in even._jdf.queryExecution().optimizedPlan().toString() and max(held(even)) <= 250
+
+
+def test_scored_texts_may_be_null_or_empty(spark, tmp_path):
+    """As in the SQL: a null text has no score, and an empty one NaN."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    rows = [(1, "bee"), (2, None), (3, ""), (4, "x"), (5, "é e"), (6, " ")]
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(path)
+    got = {r.doc_id: r.score for r in entry.queries()["score_text"](spark, str(tmp_path)).collect()}
+    sql = entry.oracle_sql()["score_text"].replace("FROM documents", f"FROM read_parquet('{path}/*.parquet')")
+    want = dict(duckdb.sql(sql).fetchall())
+    assert got.keys() == want.keys() and got[2] is None and np.isnan(got[3])
+    assert all(got[k] == want[k] for k in (1, 2, 4, 5, 6))

@@ -11,6 +11,7 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,8 +126,16 @@ def map_with_checkpoint(df: DataFrame, fn: Frame, schema: str, path: str, waves:
 
 
 def score_text(df: DataFrame, text: str, fn: Callable[[str], float], name: str = "score") -> DataFrame:
-    """A user's text scorer, once per row."""
-    return map_rows(df, fn, [text], "double", name)
+    """A user's text scorer, once per row; a null text has no score.
+
+    Scores leave the worker in Arrow, where a scorer's NaN is not a null, and a batch's texts are read one by one.
+    """
+
+    @F.arrow_udf("double")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array((fn(t.as_py()) if t.is_valid else None for t in texts), pa.float64())
+
+    return df.withColumn(name, run(F.col(text)))
 
 
 def heavy_tasks(value: Column, text: Column) -> dict[str, Column]:
