@@ -57,3 +57,41 @@ def test_no_vocabulary_in_the_driver(df):
     model = T.topics(T.vectorize(more, "w"), 2, passes=2)
     assert model.bags.n_words == 3016
     assert all(np.size(v) <= 4 for b in model.batches for v in b) and np.size(model.first) == 2
+
+
+def test_documents_of_a_group_settle_together_as_they_do_alone():
+    """Sums, shares and their number are those of one document and one model after the other, in far fewer rounds of calls."""
+    rnd = random.Random(7)
+    bags = [{f"w{rnd.randrange(300)}": float(rnd.randint(1, 5)) for _ in range(rnd.choice([1, 3, 20, 70, 150]))} for _ in range(40)]
+    model = object.__new__(O.TopicModel)
+    model.ks, model.seed, model.batches = [2, 3, 7], 42, []
+    model.alpha = [np.full(k, 1 / k) for k in model.ks]
+    model.eta, model.parts = np.concatenate(model.alpha), [slice(0, 2), slice(2, 5), slice(5, 12)]
+    edge, none = O.digamma(np.full(12, 300.0)), O.pd.DataFrame({"word": [], "held": []})
+    asked, plain = [], O.digamma
+    O.digamma = lambda x: asked.append(0) or plain(x)
+    try:
+        got = O._learn(model, 1, edge, O.pd.DataFrame({"bag": bags}), none)
+    finally:
+        O.digamma = plain
+    sums = dict(zip(got["word"], got["sums"]))
+    want, logs, rounds = {w: np.zeros(12) for b in bags for w in b}, np.zeros(12), 0
+    for b in bags:
+        words, n = list(b), np.array(list(b.values()))
+        beta = np.exp(plain(O.start_weights(np.array(words, dtype=object), 12, 42)) - edge)
+        start = O.start_weights(np.array([f"{min(b)} {len(b)}"], dtype=object), 12, 43)[0]
+        for part, alpha in zip(model.parts, model.alpha):
+            rows, gamma, change = beta[:, part], start[part], 1.0
+            whole = plain(n.sum() + alpha.sum())
+            theta = np.exp(plain(gamma) - whole)
+            while change > 1e-3:
+                last, rounds = gamma, rounds + 1
+                gamma = theta * ((n / (rows @ theta + 1e-100)) @ rows) + alpha
+                theta, change = np.exp(plain(gamma) - whole), np.abs(gamma - last).mean()
+            found = rows * np.outer(n / (rows @ theta + 1e-100), theta)
+            logs[part] += plain(gamma) - whole
+            for w, s in zip(words, found):
+                want[w][part] += s
+    assert sums.keys() == want.keys() | {None} and all(np.allclose(sums[w], want[w]) for w in want)
+    assert np.allclose(sums[None], np.concatenate([sum(want.values()), logs, [40]]))
+    assert len(asked) < rounds / 10
