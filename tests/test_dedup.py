@@ -258,3 +258,19 @@ def test_signatures_of_more_tokens_than_a_worker_remembers(monkeypatch, spark):
         tokens = (t or "").lower().split()
         want = [min(md5(f"{w}{h}".encode()).hexdigest() for w in tokens) for h in range(12)] if tokens else None
         assert got[i] == want
+
+
+def test_digests_of_many_tokens_are_made_together(monkeypatch):
+    """The beginnings of md5(token + number), without a call per token and number; only tokens beyond one block go one by one."""
+    import hashlib
+
+    rnd = random.Random(2)
+    tokens = [bytes(rnd.randrange(256) for _ in range(n % 64)) for n in range(500)] + ["é".encode(), b""]
+    numbers = [str(i).encode() for i in range(0, 120, 7)]
+    asked = []
+    monkeypatch.setattr(D, "md5", lambda x: asked.append(x) or hashlib.md5(x))
+    monkeypatch.setattr(D, "_LANES", 60)  # several portions
+    got = D.digest_starts(tokens, numbers)
+    want = [[int.from_bytes(hashlib.md5(t + n).digest()[:8], "big") for n in numbers] for t in tokens]
+    assert got.tolist() == want and D.digest_starts([], numbers).shape == (0, len(numbers))
+    assert len(asked) == sum(len(t) > 52 for t in tokens) * len(numbers)
